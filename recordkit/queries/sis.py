@@ -6,6 +6,8 @@ SQL that Spark and the checking engine both understand; ``{name}`` stands for a
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -218,6 +220,10 @@ MODEL = {
     "tickets": """
         SELECT event_id AS ticket_idx, CAST(ts AS DATE) AS day, CAST(user_id AS STRING) AS id1, CAST(user_id % 7 AS STRING) AS id2,
                CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS value,
+               CASE user_id % 10 WHEN 0 THEN NULL WHEN 1 THEN CAST(5 AS DOUBLE)
+                    WHEN 2 THEN CASE WHEN CAST(ts AS DATE) < DATE '2024-01-22' THEN value ELSE NULL END ELSE value END AS resolution,
+               CAST(value AS DECIMAL(18,2)) * CASE user_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 1 WHEN 2 THEN 15 WHEN 3 THEN 200 WHEN 4 THEN 9000
+                    WHEN 5 THEN 0 ELSE 900 END AS seconds,
                CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_id END AS app_value,
                CASE event_type WHEN 'signup' THEN 'Online' WHEN 'click' THEN 'Text' WHEN 'purchase' THEN 'Electronic Mail' WHEN 'view' THEN 'Voice'
                     ELSE CASE event_id % 2 WHEN 0 THEN 'Application' ELSE 'Fax' END END AS channel,
@@ -227,10 +233,28 @@ MODEL = {
 }
 
 
-def model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every derived table as a DataFrame over the given tables."""
-    given = {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in GIVEN}
-    return {name: spark.sql(text, **{g: t for g, t in given.items() if "{" + g + "}" in text}) for name, text in MODEL.items()}
+class Model(Mapping):
+    """The derived tables as DataFrames over the given tables, each built on first use."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder, self._built = spark, folder.rstrip("/"), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            text = MODEL[name]
+            given = {g: self._spark.read.parquet(f"{self._folder}/{g}.parquet") for g in GIVEN if "{" + g + "}" in text}
+            self._built[name] = self._spark.sql(text, **given)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(MODEL)
+
+    def __len__(self) -> int:
+        return len(MODEL)
+
+
+def model(spark: SparkSession, folder: str) -> Model:
+    return Model(spark, folder)
 
 
 def model_sql(*names: str) -> str:
