@@ -7,6 +7,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+LOOKUP_ROWS = 100_000
+
+
+def small_lookup(lookup: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame:
+    """Mark a lookup for broadcast if it has at most ``limit`` rows.
+
+    The check reads no more than ``limit + 1`` rows. Lookups have few different keys, so a join
+    by key would send most rows to few tasks; a larger lookup is joined by key nevertheless, and
+    the adaptive join splits its hot keys.
+    """
+    return F.broadcast(lookup) if lookup.limit(limit + 1).count() <= limit else lookup
+
+
 def left_fan(spine: DataFrame, sides: list[DataFrame], key: list[str]) -> DataFrame:
     """Left join several sides onto a spine on the same key; the spine is shuffled once."""
     return reduce(lambda left, right: left.join(right, key, "left"), sides, spine)

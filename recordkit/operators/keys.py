@@ -14,6 +14,15 @@ def newest_first(date: str, ties: list[str]) -> list[Column]:
     return [F.desc_nulls_first(date), *[F.asc_nulls_first(t) for t in ties]]
 
 
+def newest_place(date: str, ties: list[str]) -> Column:
+    """A struct that is smallest for the row ``newest_first`` would put first.
+
+    A minimum over it is combined before the shuffle, where a window would sort whole keys.
+    """
+    newest = F.struct(F.col(date).isNotNull().alias("ended"), (-F.unix_date(F.col(date))).alias("days_back"))
+    return F.struct(newest.alias("newest"), *[F.col(t).alias(t) for t in ties])
+
+
 def latest_per_key(df: DataFrame, key: list[str], date: str, ties: list[str]) -> DataFrame:
     """One row per key: the newest by ``date``.
 
@@ -49,10 +58,9 @@ def first_row_flags(df: DataFrame, key: list[str], orders: dict[str, str]) -> Da
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
 
     def place(date: str) -> Column:
-        # Smallest struct = first row: NULL dates, then newest dates, then the ties.
-        newest = F.struct(F.col(date).isNotNull(), -F.unix_date(F.col(date)))
-        rest = [F.struct(F.col(c).isNotNull(), F.col(c)) for c in columns if c != date]
-        return F.struct(newest, *rest)
+        # The number of copies follows from the other columns; naming it keeps the two uses of
+        # ``counted`` alike, so that its shuffle is written once.
+        return newest_place(date, [*[c for c in columns if c != date], "_copies"])
 
     winners = counted.groupBy(*[F.col(k).alias(f"_k_{k}") for k in key]).agg(
         *[F.min(place(date)).alias(f"_first_{flag}") for flag, date in orders.items()]

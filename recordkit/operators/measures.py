@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.functions.rules import flag, percent, presence_flag
-from recordkit.operators.keys import latest_per_key
+from recordkit.operators.keys import newest_place
 
 
 def attendance_rate(days: DataFrame, key: list[str], value: str) -> DataFrame:
@@ -32,42 +35,46 @@ def with_presence(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.withColumn(name, presence_flag(F.col(column)))
 
 
-def latest_score(
-    administrations: DataFrame,
-    tests: DataFrame,
-    parts: DataFrame,
-    scores: DataFrame,
-    title: Column,
-    part: Column | None = None,
-    score_types: DataFrame | None = None,
-    score_type: str | None = None,
+@dataclass(frozen=True)
+class ScoreKind:
+    """Scores wanted: a condition on ``test`` and ``part`` titles, and a score type or any."""
+
+    titles: Column
+    score_type: str | None = None
+
+
+def latest_scores(
+    administrations: DataFrame, tests: DataFrame, parts: DataFrame, scores: DataFrame, score_types: DataFrame, kinds: dict[str, ScoreKind]
 ) -> DataFrame:
-    """Newest administration per student of the tests whose title satisfies ``title``.
+    """One row per student with, per kind, the ``test``, ``score``, ``test_code`` and
+    ``administration_date`` of the newest administration as a struct column (NULL without any).
 
-    ``part`` restricts the part title and ``score_type`` the short name of the score type. The
-    filtered test tables are small and join to the scores before the fact tables meet.
+    All kinds come from one pass over scores and administrations: the test titles are filtered
+    before they meet the scores, and the newest row per student and kind is a minimum that is
+    combined before the only shuffle by student.
     """
+    any_kind = reduce(lambda a, b: a | b, [k.titles for k in kinds.values()])
     wanted = (
         tests.select(F.col("id").alias("test_id"), F.col("title").alias("test"))
-        .filter(title)
         .join(parts.select(F.col("id").alias("part_id"), "test_id", F.col("title").alias("part")), "test_id")
+        .filter(any_kind)
     )
-    if part is not None:
-        wanted = wanted.filter(part)
-    taken = scores.select("administration_id", "part_id", "test_id", "score_type_id", "score", "test_code")
-    if score_type is not None:
-        kind = score_types.filter(F.col("short_name") == score_type)
-        taken = taken.join(kind.select(F.col("id").alias("score_type_id")), "score_type_id")
+    types = score_types.select(F.col("id").alias("score_type_id"), F.col("short_name").alias("score_type"))
+    taken = administrations.select(F.col("id").alias("administration_id"), "student_id", "test_id", "administration_date")
     rows = (
-        taken.drop("score_type_id")
+        scores.select("administration_id", "part_id", "test_id", "score_type_id", "score", "test_code")
         .join(wanted, ["test_id", "part_id"])
-        .join(
-            administrations.select(
-                F.col("id").alias("administration_id"), "student_id", "test_id", "administration_date"
-            ),
-            ["administration_id", "test_id"],
-        )
-        .select("student_id", "administration_date", "test", "score", "test_code", "administration_id", "part_id")
+        .join(types, "score_type_id", "left")
+        .join(taken, ["administration_id", "test_id"])
+    )
+    place = newest_place("administration_date", ["administration_id", "test", "part_id", "score", "test_code", "administration_date"])
+    newest = {}
+    for name, kind in kinds.items():
+        typed = kind.titles if kind.score_type is None else kind.titles & (F.col("score_type") == kind.score_type)
+        newest[name] = F.min(F.when(typed, place))
+    shown = ("test", "score", "test_code", "administration_date")
+    picked = rows.groupBy("student_id").agg(*[c.alias(name) for name, c in newest.items()])
+    return picked.select(
+        "student_id",
+        *[F.when(F.col(n).isNotNull(), F.struct(*[F.col(n)[c].alias(c) for c in shown])).alias(n) for n in kinds],
     )
-    ties = ["administration_id", "test", "part_id", "score", "test_code"]
-    return latest_per_key(rows, ["student_id"], "administration_date", ties)

@@ -5,26 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-def rank_in_group(
-    df: DataFrame, group: list[str], value: str, rank: str, size: str | None = None, bucket_width: float = 0.1
-) -> DataFrame:
-    """``RANK`` (gaps, highest first, NULL before all) of ``value`` within ``group``; ``size``
-    names an added column with the rows of the group.
-
-    ``value`` must be a decimal. Rows are first counted per different value (combined before the
-    shuffle), so a value shared by a third of all rows is one row afterwards. The values of a
-    group are cut into buckets of ``bucket_width``: no window holds more than the different values
-    of one bucket (``bucket_width / 10**-scale``) or the buckets of one group. The counts of higher
-    buckets and of higher values in the same bucket add up to the rank, which a join brings back.
-    """
-    value_type = df.schema[value].dataType
-    if value_type.typeName() != "decimal":
-        raise TypeError(f"{value} must be a decimal, not {value_type.simpleString()}")
-    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+def _places(df: DataFrame, group: list[str], value: str, bucket_width: float) -> DataFrame:
+    """Rank and group size per different (group, value), as columns ``_g0.., _v, _rank, _size``."""
     names = [f"_g{i}" for i in range(len(group))]
     width = F.lit(str(bucket_width)).cast("decimal(18,4)")
     counts = (
-        df.groupBy(*keys, F.col(value).alias("_v"))
+        df.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_b", F.floor(F.col("_v") / width))
     )
@@ -40,10 +26,31 @@ def rank_in_group(
     inside = Window.partitionBy(*names, "_b").orderBy(F.desc_nulls_first("_v"))
     ranked = counts.withColumn("_ahead", F.sum("_n").over(inside) - F.col("_n"))
     same_bucket = [ranked[c].eqNullSafe(buckets[c]) for c in [*names, "_b"]]
-    places = ranked.join(buckets, same_bucket).select(
-        *[ranked[c] for c in names], "_v", (F.col("_above") + F.col("_ahead") + 1).alias("_rank"), "_size"
-    )
-    same_value = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)]
-    joined = df.join(places, [*same_value, F.col(value).eqNullSafe(F.col("_v"))])
-    added = [F.col("_rank").alias(rank)] + ([F.col("_size").alias(size)] if size else [])
-    return joined.select(*df.columns, *added)
+    rank = (F.col("_above") + F.col("_ahead") + 1).alias("_rank")
+    return ranked.join(buckets, same_bucket).select(*[ranked[c] for c in names], "_v", rank, "_size")
+
+
+def rank_in_group(df: DataFrame, group: list[str], ranks: dict[str, str], size: str | None = None, bucket_width: float = 0.1) -> DataFrame:
+    """``RANK`` (gaps, highest first, NULL before all) of each value column within ``group``.
+
+    ``ranks`` maps value column -> new rank column; ``size`` names a new column with the number of
+    rows of the group. The values must be decimals. Rows are first counted per different value
+    (combined before the shuffle), so a value shared by a third of all rows is one row afterwards.
+    The values of a group are cut into buckets of ``bucket_width``: no window holds more than the
+    different values of one bucket (``bucket_width / 10**-scale``) or the buckets of one group. The
+    counts of higher buckets and of higher values in the same bucket add up to the rank, which a
+    join on (group, value) brings back. ``df`` is read once per rank and once more, so it should be
+    a stored table.
+    """
+    joined, kept = df, list(df.columns)
+    for i, (value, rank) in enumerate(ranks.items()):
+        value_type = df.schema[value].dataType
+        if value_type.typeName() != "decimal":
+            raise TypeError(f"{value} must be a decimal, not {value_type.simpleString()}")
+        places = _places(df, group, value, bucket_width)
+        same_group = [F.col(g).eqNullSafe(F.col(f"_g{j}")) for j, g in enumerate(group)]
+        joined = joined.join(places, [*same_group, F.col(value).eqNullSafe(F.col("_v"))])
+        added = [F.col("_rank").alias(rank)] + ([F.col("_size").alias(size)] if size and i == 0 else [])
+        joined = joined.select(*kept, *added)
+        kept = joined.columns
+    return joined

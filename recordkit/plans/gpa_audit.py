@@ -110,8 +110,7 @@ def gpa_audit(sis: Mapping[str, DataFrame], run: AuditRun = AuditRun(), folder:
     """The audit: totals, GPAs, both class ranks, their difference and both percentiles."""
     group = ["school", "grade_level"]
     gpas = stage(student_gpas(sis, run), "student-gpas", folder)
-    ranked = rank_in_group(gpas, group, "adjusted_gpa", "adjusted_rank", size="students")
-    ranked = rank_in_group(ranked, group, "current_gpa", "current_rank")
+    ranked = rank_in_group(gpas, group, {"adjusted_gpa": "adjusted_rank", "current_gpa": "current_rank"}, size="students")
     # A group without a school name has ranks but no percentile.
     students = F.when(F.col("school").isNotNull(), F.col("students"))
     headings = {

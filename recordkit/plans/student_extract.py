@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from recordkit.functions.rules import band_level, derived_yes_no, flag, growth, masked_id, presence_flag, uploaded_id, yes_no
 from recordkit.functions.text import without
 from recordkit.operators.joins import left_fan
 from recordkit.operators.keys import latest_per_key
 from recordkit.operators.lookup import decode_options, one_option_per_id
-from recordkit.operators.measures import attendance_rate, distinct_events, latest_score, rate_columns
+from recordkit.operators.measures import ScoreKind, attendance_rate, distinct_events, latest_scores, rate_columns
 
 
 @dataclass(frozen=True)
@@ -66,22 +66,18 @@ def student_spine(sis: Mapping[str, DataFrame], run: ExtractRun) -> DataFrame:
     )
 
 
-def _scores(sis: Mapping[str, DataFrame], prefix: str, title: Column, **options) -> DataFrame:
-    newest = latest_score(
-        sis["test_history_administrations"],
-        sis["test_history_tests"],
-        sis["test_history_parts"],
-        sis["test_history_scores"],
-        title,
-        score_types=sis["test_history_score_types"],
-        **options,
-    )
-    return newest.select(
-        "student_id",
-        F.col("test").alias(f"{prefix}_test"),
-        F.col("test_code").alias(f"{prefix}_code"),
-        F.col("score").alias(f"{prefix}_score"),
-    )
+def newest_scores(sis: Mapping[str, DataFrame]) -> DataFrame:
+    """Per student the newest state achievement levels and local proficiency bands."""
+    test, part = F.col("test"), F.col("part")
+    local = test.like("APM%") & ~test.like("%Summer%")
+    kinds = {
+        "fsa_ela": ScoreKind(test.like("%FSA ELA%"), "AL"),
+        "fsa_math": ScoreKind(test.ilike("%FSA MATH%"), "AL"),
+        "apm_math": ScoreKind(local & (part == "Math Proficiency")),
+        "apm_ela": ScoreKind(local & (part == "Reading Proficiency")),
+    }
+    tables = ("administrations", "tests", "parts", "scores", "score_types")
+    return latest_scores(*[sis[f"test_history_{t}"] for t in tables], kinds)
 
 
 def student_extract(sis: Mapping[str, DataFrame], run: ExtractRun = ExtractRun()) -> DataFrame:
@@ -89,8 +85,6 @@ def student_extract(sis: Mapping[str, DataFrame], run: ExtractRun = ExtractRun()
     used once and the fact tables shuffle partial results; the two uploads are not reduced, and a
     student uploaded twice has two rows."""
     year = F.col("syear") == run.syear
-    test = F.col("test")
-    apm = test.like("APM%") & ~test.like("%Summer%")
     uploads = {
         "benchmark_ia1_to_ia4_temp": ["ia1_p1", "ia4_p1"],
         "iready_math_upload_temp": ["fall_ss", "spring_ss", "spring_pr", "spring_rp"],
@@ -98,10 +92,7 @@ def student_extract(sis: Mapping[str, DataFrame], run: ExtractRun = ExtractRun()
     sides = [
         attendance_rate(sis["attendance_day"].filter(year), ["student_id"], "state_value"),
         distinct_events(sis["discipline_referrals"].filter(year), ["student_id"], "referral_id"),
-        _scores(sis, "fsa_ela", test.like("%FSA ELA%"), score_type="AL"),
-        _scores(sis, "fsa_math", test.ilike("%FSA MATH%"), score_type="AL"),
-        _scores(sis, "apm_math", apm, part=F.col("part") == "Math Proficiency"),
-        _scores(sis, "apm_ela", apm, part=F.col("part") == "Reading Proficiency"),
+        newest_scores(sis),
         *[
             sis[name].select(uploaded_id(F.col("student_id")).alias("student_id"), *columns).filter("student_id IS NOT NULL")
             for name, columns in uploads.items()
@@ -110,7 +101,7 @@ def student_extract(sis: Mapping[str, DataFrame], run: ExtractRun = ExtractRun()
     full = left_fan(student_spine(sis, run), sides, ["student_id"])
     shown_id = masked_id(F.col("student_id"), *run.id_offsets)
     rate = rate_columns(F.col("present"), F.col("total"), run.attendance_threshold)
-    ela, math = F.col("fsa_ela_score"), F.col("fsa_math_score")
+    ela, math = F.col("fsa_ela.score"), F.col("fsa_math.score")
     benchmark = growth(F.col("ia4_p1"), F.col("ia1_p1"))
     iready = growth(F.col("spring_ss"), F.col("fall_ss"))
     columns = {
@@ -130,18 +121,18 @@ def student_extract(sis: Mapping[str, DataFrame], run: ExtractRun = ExtractRun()
         "Has Referral": presence_flag(F.col("events")),
         "Last FSA ELA AL": ela,
         "Passed FSA ELA": flag(ela >= run.passing_level, ela),
-        "Last APM ELA Test Name": F.col("apm_ela_test"),
-        "Last APM ELA Proficiency Level Desc": F.col("apm_ela_code"),
-        "Last APM ELA Proficiency Level": band_level(F.col("apm_ela_code")),
+        "Last APM ELA Test Name": F.col("apm_ela.test"),
+        "Last APM ELA Proficiency Level Desc": F.col("apm_ela.test_code"),
+        "Last APM ELA Proficiency Level": band_level(F.col("apm_ela.test_code")),
         "Benchmark IA1 Score": F.col("ia1_p1"),
         "Benchmark IA4 Score": F.col("ia4_p1"),
         "Benchmark IA Growth": benchmark,
         "Made Benchmark IA Growth": flag(benchmark > 0, benchmark),
         "Last FSA Math AL": math,
         "Passed FSA Math": flag(math >= run.passing_level, math),
-        "Last APM Math Test Name": F.col("apm_math_test"),
-        "Last APM Math Proficiency Level Desc": F.col("apm_math_code"),
-        "Last APM Math Proficiency Level": band_level(F.col("apm_math_code")),
+        "Last APM Math Test Name": F.col("apm_math.test"),
+        "Last APM Math Proficiency Level Desc": F.col("apm_math.test_code"),
+        "Last APM Math Proficiency Level": band_level(F.col("apm_math.test_code")),
         "i-Ready Math Fall SS": F.col("fall_ss"),
         "i-Ready Math Spring SS": F.col("spring_ss"),
         "i-Ready Math SS Growth": iready,

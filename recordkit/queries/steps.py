@@ -14,7 +14,7 @@ from recordkit.operators.grades import credit_totals, enrolled_at_period_end, fi
 from recordkit.operators.joins import left_fan, left_join_where, renamed
 from recordkit.operators.keys import active_or_latest, first_row_flags, latest_per_key
 from recordkit.operators.lookup import decode_options, one_option_per_id
-from recordkit.operators.measures import attendance_rate, distinct_events, latest_score, rate_columns, with_presence
+from recordkit.operators.measures import ScoreKind, attendance_rate, distinct_events, latest_scores, rate_columns, with_presence
 from recordkit.operators.ranking import rank_in_group
 from recordkit.operators.reshape import unpivot_scores
 from recordkit.operators.tickets import Week, calendar, channel_counts, count_where
@@ -127,10 +127,10 @@ _SCORE_TABLES = ("test_history_tests", "test_history_parts", "test_history_score
 )
 def _latest_score_star(spark: SparkSession, folder: str) -> DataFrame:
     sis = model(spark, folder)
+    kind = ScoreKind(F.col("test").like("%FSA ELA%") | F.col("test").ilike("%FSA MATH%"), "AL")
     tests, parts, types, administrations, scores = (sis[n] for n in _SCORE_TABLES)
-    title = F.col("test").like("%FSA ELA%") | F.col("test").ilike("%FSA MATH%")
-    newest = latest_score(administrations, tests, parts, scores, title, score_types=types, score_type="AL")
-    return newest.select("student_id", "administration_date", "test", "score")
+    newest = latest_scores(administrations, tests, parts, scores, types, {"newest": kind})
+    return newest.filter("newest IS NOT NULL").select("student_id", "newest.administration_date", "newest.test", "newest.score")
 
 
 # ---------------------------------------------------------------- rules
@@ -234,8 +234,7 @@ def _quality_gpa(spark: SparkSession, folder: str) -> DataFrame:
 def _class_rank_percentile(spark: SparkSession, folder: str) -> DataFrame:
     group = ["n_name", "c_mktsegment"]
     gpas = stage(_gpas(Tables(spark, folder)), "customer-gpas")
-    ranked = rank_in_group(gpas, group, "gpa", "gpa_rank", size="students")
-    ranked = rank_in_group(ranked, group, "credits", "credit_rank", bucket_width=10)
+    ranked = rank_in_group(gpas, group, {"gpa": "gpa_rank", "credits": "credit_rank"}, size="students", bucket_width=10)
     return ranked.select(
         "c_custkey",
         *group,
