@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from recordkit.session import prepare
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,7 +19,7 @@ def query(name: str, sql: str) -> Callable[[Query], Query]:
     dates as ISO text."""
 
     def register(function: Query) -> Query:
-        QUERIES[name] = lambda spark, folder: plain(function(spark, folder))
+        QUERIES[name] = lambda spark, folder: plain(function(prepare(spark), folder))
         SQL[name] = sql
         return function
 

@@ -324,11 +324,13 @@ def _unpivot_scores(spark: SparkSession, folder: str) -> DataFrame:
 def _packed_code(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
     status = F.col("o_orderstatus")
-    codes = t.customer.select("c_custkey").join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
-    codes = codes.select("c_custkey", "o_orderstatus", F.substring("o_orderpriority", 3, F.when(status == "F", 1).otherwise(2)).alias("code"))
-    return packed_code(codes, ["c_custkey"], "code", status == "F", status == "P")
+    code = F.substring("o_orderpriority", 3, F.when(status == "F", 1).otherwise(2)).alias("code")
+    counted = t.orders.groupBy(F.col("o_custkey").alias("c_custkey"), "o_orderstatus", code).agg(F.count(F.lit(1)).alias("copies"))
+    codes = t.customer.select("c_custkey").join(counted, "c_custkey", "left")
+    return packed_code(codes, ["c_custkey"], "code", status == "F", status == "P", copies="copies")
 
 
+# An event log as an audit log: views and signups are no updates.
 _CHANGES = """, log AS (SELECT user_id, event_type, ts, props FROM events WHERE event_type IN ('click', 'purchase', 'error') AND ts >= DATE '2024-01-10'
     AND user_id % 100 IN (SELECT s_suppkey FROM supplier)),
 dates AS (SELECT user_id, max(ts) FILTER (WHERE props LIKE '%k_: 1%')::DATE AS low, max(ts) FILTER (WHERE props LIKE '%7}')::DATE AS seven FROM log

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE splits hot join partitions and coalesces small ones; the group limit lets a
-# newest-row-per-key filter run before the shuffle as well as after it.
-RUNTIME_SETTINGS = {
+# AQE splits hot join partitions, also where that needs one more shuffle for the next step.
+SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Switch the skew settings on in a given session."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: str | int = 8, app: str = "recordkit", **settings: str) -> SparkSession:
     """A local session with the Spark UI off. On a cluster, pass your own session instead."""
     builder = (
@@ -22,9 +28,10 @@ def local_session(cpus: str | int = 8, app: str = "recordkit", **settings: str)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
     )
-    for key, value in {**RUNTIME_SETTINGS, **settings}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = prepare(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
