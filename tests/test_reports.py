@@ -1,0 +1,491 @@
+import datetime as dt
+from decimal import Decimal
+
+from helpers import by_key, day, rows
+from sis_fixture import sis
+
+from recordkit.plans.answer_sheet import answer_rows
+from recordkit.plans.gpa_audit import AuditRun, gpa_audit
+from recordkit.plans.reconciliation import ReconciliationRun, reconciliation
+from recordkit.plans.scale_update import scale_update
+from recordkit.plans.student_extract import student_extract
+
+BASE = 4300200420
+SCHOOLS = [dict(id=1, title="North", custom_327="0051"), dict(id=2, title="South", custom_327="0101"), dict(id=3, title="Other", custom_327="0999")]
+GRADES = [dict(id=i, title=f"{i:02d}") for i in range(1, 13)]
+PERIODS = [
+    dict(marking_period_id=s * 10 + n, school_id=s, syear=y, short_name=k, title=k, end_date=day(e))
+    for s in (1, 2, 3)
+    for n, y, k, e in ((1, 2021, "FY", "2022-05-31"), (2, 2021, "S1", "2021-12-17"), (3, 2021, "S2", "2022-05-31"))
+]
+
+
+def enrolled(student, school=1, grade=5, start="2021-08-11", end=None, **more):
+    return dict(dict(student_id=BASE + student, school_id=school, grade_id=grade, syear=2021, start_date=day(start), end_date=day(end)), **more)
+
+
+# ---------------------------------------------------------------- student extract
+
+
+def extract(spark):
+    students = [
+        dict(student_id=BASE + 2, custom_200000000=1, custom_200000001=11, custom_626=23, custom_2012197500="K - Learning"),
+        dict(student_id=BASE + 7, custom_200000000=2, custom_200000001=14, custom_626=25, custom_2012197500="L - Gifted"),
+        dict(student_id=BASE + 9),
+        dict(student_id=BASE + 11),
+        dict(student_id=BASE + 13),
+        dict(student_id=BASE + 15),
+        dict(student_id=BASE + 17),
+    ]
+    tests = ["Spring FSA ELA", "fsa math grade 3", "APM Q1", "APM Summer", "Fsa ela"]
+    taken = [  # administration, student, test, date, part, type, score, code
+        (1, 2, 1, "2021-05-01", "Total", "AL", 2, None),
+        (2, 2, 1, "2022-05-01", "Total", "AL", 3, None),
+        (2, 2, 1, "2022-05-01", "Total", "SS", 300, None),
+        (3, 2, 2, "2022-05-02", "Total", "AL", 2, None),
+        (4, 2, 3, "2022-01-01", "Math Proficiency", "SS", 0, "Proficient"),
+        (4, 2, 3, "2022-01-01", "Reading Proficiency", "SS", 0, "Inadequate"),
+        (5, 2, 4, "2022-07-01", "Math Proficiency", "SS", 0, "Mastery"),  # summer
+        (6, 2, 5, "2022-08-01", "Total", "AL", 5, None),  # other letter case
+        (7, 15, 3, "2022-01-01", "Math Proficiency", "SS", 0, "Mastery"),  # two on one date: the smaller id
+        (8, 15, 3, "2022-01-01", "Math Proficiency", "SS", 0, "Inadequate"),
+        (9, 15, 3, "2022-01-01", "Reading Proficiency", None, 0, "Unknown band"),
+    ]
+    parts = {"Total": 1, "Math Proficiency": 2, "Reading Proficiency": 3}
+    types = {"AL": 1, "SS": 2}
+    return by_key(
+        student_extract(
+            sis(
+                spark,
+                students=students,
+                schools=SCHOOLS,
+                school_gradelevels=GRADES,
+                marking_periods=PERIODS,
+                custom_field_select_options=[
+                    dict(id=1, code="F", label="F - Female"),
+                    dict(id=2, code="M", label="M - Male"),
+                    dict(id=11, code="W", label="White, Non-Hispanic"),
+                    dict(id=14, code="O", label="Other-Multiracial"),
+                    dict(id=23, code="LY", label="LY"),
+                    dict(id=25, code="ZZ", label="ZZ"),
+                ],
+                student_enrollment=[
+                    enrolled(2, grade=4, end="2022-05-30"),
+                    enrolled(2, grade=5),  # open: wins over the closed one
+                    enrolled(7, grade=3, end="2022-05-31"),
+                    enrolled(9, school=2),
+                    enrolled(11),
+                    enrolled(13, end="2022-06-10"),  # after the year
+                    enrolled(15),
+                    enrolled(17, school=3),  # other school
+                    enrolled(11, school=2, grade=9, syear=2020),
+                ],
+                attendance_day=[dict(student_id=BASE + 2, syear=2021, state_value=v) for v in [1] * 8 + [0]]
+                + [dict(student_id=BASE + 2, syear=2020, state_value=0), dict(student_id=BASE + 7, syear=2021, state_value=1)],
+                discipline_referrals=[dict(student_id=BASE + 2, referral_id=r, syear=y) for r, y in ((1, 2021), (1, 2021), (2, 2021), (3, 2020))],
+                test_history_tests=[dict(id=i, title=t) for i, t in enumerate(tests, 1)],
+                test_history_parts=[dict(id=t * 10 + p, test_id=t, title=n) for t in range(1, 6) for n, p in parts.items()],
+                test_history_score_types=[dict(id=i, short_name=n) for n, i in types.items()],
+                test_history_administrations=[
+                    dict(id=a, student_id=BASE + s, test_id=t, administration_date=day(d)) for a, s, t, d in dict.fromkeys(x[:4] for x in taken)
+                ],
+                test_history_scores=[
+                    dict(administration_id=a, test_id=t, part_id=t * 10 + parts[p], score_type_id=types.get(k), score=v, test_code=c)
+                    for a, _, t, _, p, k, v, c in taken
+                ],
+                benchmark_ia1_to_ia4_temp=[
+                    dict(student_id=str(BASE + 2), ia1_p1="40", ia4_p1="55"),
+                    dict(student_id=str(BASE + 7), ia1_p1="", ia4_p1="55"),
+                    dict(student_id=str(BASE + 9), ia1_p1="50", ia4_p1="absent"),
+                    dict(student_id=str(BASE + 11), ia1_p1="60", ia4_p1="55"),
+                    dict(student_id="0" + str(BASE + 15), ia1_p1="1", ia4_p1="2"),  # other text, no match
+                ],
+                iready_math_upload_temp=[dict(student_id=str(BASE + 2), fall_ss="400", spring_ss="400", spring_pr="50", spring_rp="Level 2")],
+            )
+        ),
+        "Student ID",
+    )
+
+
+def test_student_extract(spark):
+    out = extract(spark)
+    assert set(out) == {2, 7, 9, 11, 15}
+
+    def shown(student, *names):
+        return [out[student][n] for n in names]
+
+    about = ("School", "Grade", "Gender", "Race", "ELL", "ESE", "FRL")
+    assert shown(2, *about) == ["Martin County Elementary School", "05", "Female", "White", "Yes", "Yes", "Yes"]
+    assert shown(7, *about) == ["Martin County Elementary School", "03", "Male", "Multiracial", "No", "No", "Yes"]
+    assert [out[s]["FRL"] for s in (9, 11, 15)] == ["Yes", "No", "No"]
+    days = ("Days Present", "Days Total", "Attendance Rate", "Below 90 Percent Attendance", "Referrals", "Has Referral")
+    assert shown(2, *days) == [8, 9, Decimal("88.89"), 1, 2, 1]
+    assert shown(7, *days) == [1, 1, 100, 0, None, 0]
+    assert shown(9, *days) == [None, None, None, None, None, 0]
+    assert shown(2, "Last FSA ELA AL", "Passed FSA ELA", "Last FSA Math AL", "Passed FSA Math") == [3, 1, 2, 0]
+    assert shown(9, "Last FSA ELA AL", "Passed FSA ELA") == [None, None]
+    apm = [f"Last APM {s} {c}" for s in ("ELA", "Math") for c in ("Test Name", "Proficiency Level Desc", "Proficiency Level")]
+    assert shown(2, *apm) == ["APM Q1", "Inadequate", 1, "APM Q1", "Proficient", 4]
+    assert shown(15, *apm) == ["APM Q1", "Unknown band", None, "APM Q1", "Mastery", 5]
+    gains = ("Benchmark IA1 Score", "Benchmark IA4 Score", "Benchmark IA Growth", "Made Benchmark IA Growth")
+    assert [shown(s, *gains) for s in (2, 7, 9, 11, 15)] == [
+        ["40", "55", 15, 1],
+        ["", "55", None, None],
+        ["50", "absent", None, None],
+        ["60", "55", -5, 0],
+        [None, None, None, None],
+    ]
+    iready = ("i-Ready Math Fall SS", "i-Ready Math Spring SS", "i-Ready Math SS Growth", "Made i-Ready Math Growth", "i-Ready Math Spring Percentile", "i-Ready Math Spring Placement")
+    assert shown(2, *iready) == ["400", "400", 0, 0, "50", "Level 2"]
+
+
+def test_a_student_uploaded_twice_has_two_rows(spark):
+    tables = sis(
+        spark,
+        students=[dict(student_id=BASE + 2)],
+        schools=SCHOOLS,
+        school_gradelevels=GRADES,
+        marking_periods=PERIODS,
+        student_enrollment=[enrolled(2)],
+        benchmark_ia1_to_ia4_temp=[dict(student_id=str(BASE + 2), ia1_p1=a, ia4_p1="9") for a in ("1", "2")],
+    )
+    out = student_extract(tables)
+    assert len(out.columns) == 34 and sorted(r["Benchmark IA1 Score"] for r in out.collect()) == ["1", "2"]
+
+
+# ---------------------------------------------------------------- scale update
+
+
+def course(student=1, num="1200", scale=1, letter="A", grade="10", **more):
+    given = dict(
+        student_id=student, school_id=1, syear=2021, marking_period_id="11", report_card_grade_id=1, course_title="C", course_num=num,
+        credits=Decimal(1), credits_earned=Decimal(1), grade_title=letter, weighted_gpa_points=Decimal("1.5"), grade_scale_id=scale,
+        course_history="Y", affects_gpa="Y", custom_7=grade,
+    )
+    return dict(given, **more)
+
+
+TITLES = ["Weight 5 AP IB AICE DE", "Weight 4.5 Honors & Advanced", "Weight 4 On Level", "Pass Fail", "Weight 4 On Level", "Weight 5 AP IB AICE DE"]
+SCALE_ROWS = [dict(id=i, title=t) for i, t in enumerate(TITLES, 1)]
+
+
+def test_scale_update(spark):
+    given = [
+        course(1, scale=1, letter="A"),
+        course(2, scale=1, letter="F"),
+        course(3, scale=2, letter="D"),
+        course(4, scale=3, letter="B", grade="09"),  # shares its scale with student 5, keeps its points
+        course(5, scale=3, letter="C"),
+        course(6, scale=4, letter="A"),  # title outside the table
+        course(7, num="7900", scale=5, letter="A"),  # below level, on a scale of its own
+        course(8, num="7900", scale=1, letter="B"),  # one below-level course among the scale's others
+        *[course(20 + i, scale=4, letter=g) for i, g in enumerate(["P", "T", "I", "W", "WP", "Q"])],
+        course(30, scale=1, credits=Decimal(0)),
+        course(31, scale=1, syear=2020),
+        course(32, scale=1, affects_gpa="N"),
+        course(33, scale=6, letter="A", grade="09"),  # scale used by grade 9 only: title stays
+        course(34, scale=1, marking_period_id="404"),
+        course(35, scale=1, letter="A"),
+        course(35, scale=1, letter="A", credits=Decimal(0)),  # the same key: updated as well
+    ]
+    out = scale_update(sis(spark, student_report_card_grades=given, report_card_grade_scales=SCALE_ROWS, marking_periods=PERIODS))
+    titles = {r["id"]: r["title"] for r in out.report_card_grade_scales.collect()}
+    assert titles == {
+        1: "Weight 7 AP DE IB", 2: "Weight 6 Honors & Advanced", 3: "Weight 5 On Level", 4: "Pass Fail", 5: "Weight 4 Below Level", 6: "Weight 5 AP IB AICE DE",
+    }
+    assert rows(out.scale_conflicts) == [(1, "Weight 7 AP DE IB", 2)]
+    grades = out.student_report_card_grades.collect()
+    assert len(grades) == len(given)
+    points = {r["student_id"]: float(r["weighted_gpa_points"]) for r in grades}
+    old = 1.5
+    assert points == {
+        1: 7, 2: 0, 3: 3, 4: old, 5: 3, 6: 99, 7: 4, 8: 6, 20: 0, 21: 0, 22: 0, 23: 0, 24: 0, 25: 99, 30: old, 31: old, 32: old, 33: old, 34: old, 35: 7,
+    }
+    assert sorted(r["student_id"] for r in out.unmapped.collect()) == [6, 25]
+    assert out.grade_conflicts.count() == 0
+    assert out.course_history_update.columns == [
+        "student_id", "syear", "school_id", "course_title", "course_num", "credits", "credits_earned", "grade_title", "grade_scale", "grade_scale_id",
+        "seven_scale_value", "grade", "mp", "updated_at",
+    ]
+    assert len(out.course_history_weighted_gpa_points_update.columns) == 14
+
+
+def test_scale_update_takes_the_more_frequent_title(spark):
+    given = [course(i, scale=3, num="7900") for i in range(3)] + [course(9, scale=3)]
+    tables = sis(spark, student_report_card_grades=given, report_card_grade_scales=SCALE_ROWS, marking_periods=PERIODS)
+    first, second = scale_update(tables), scale_update(tables)
+    assert {r["id"]: r["title"] for r in first.report_card_grade_scales.collect()}[3] == "Weight 4 Below Level"
+    assert sorted(rows(first.student_report_card_grades), key=str) == sorted(rows(second.student_report_card_grades), key=str)
+
+
+# ---------------------------------------------------------------- GPA audit
+
+
+def test_gpa_audit(spark):
+    def grade(student, letter, points, scale=1, syear=2021, credits="1", weighted="4"):
+        return course(student, scale=scale, letter=letter, syear=syear, credits=Decimal(credits), credits_earned=Decimal("1"), gpa_points=points, weighted_gpa_points=Decimal(weighted))
+
+    four = Decimal(4)
+    tables = sis(
+        spark,
+        students=[dict(student_id=i) for i in range(1, 8)],
+        schools=SCHOOLS,
+        school_gradelevels=GRADES,
+        marking_periods=PERIODS,
+        report_card_grade_scales=SCALE_ROWS,
+        student_enrollment=[dict(enrolled(0, grade=10), student_id=i) for i in (1, 2, 3, 5)]
+        + [dict(enrolled(0, grade=9), student_id=4), dict(enrolled(0, grade=8), student_id=6), dict(enrolled(0, grade=10, end="2022-05-20"), student_id=7)]
+        + [dict(enrolled(0, grade=10, end="2022-05-21"), student_id=5)],
+        student_report_card_grades=[
+            grade(1, "A", four),
+            grade(2, "A", four),
+            grade(3, "B", None, scale=2, weighted="3"),
+            grade(3, "A", four, scale=2, syear=2020, weighted="3"),  # before the change: 4 from the title
+            grade(4, "WP", None),
+            grade(5, "A", None, credits="1", weighted="0"),
+            grade(5, "A", None, credits="-1", weighted="0"),  # credits add up to nothing
+            grade(6, "A", four),
+            grade(7, "A", four),
+        ],
+    )
+    out = by_key(gpa_audit(tables), "Student ID")
+    assert set(out) == {1, 2, 3, 4, 5}  # grade 8 is no high school, student 7 left too early
+
+    def shown(student, *names):
+        return [None if out[student][n] is None else float(out[student][n]) for n in names]
+
+    gpas = ("Unweighted GPA", "Adjusted Weighted GPA", "Current Weighted GPA")
+    assert shown(1, *gpas) == shown(2, *gpas) == [4, 7, 4]
+    assert shown(3, *gpas) == [2, 4.5, 3]
+    assert shown(4, *gpas) == [None, 99, 4]
+    assert shown(5, *gpas) == [None, None, None]
+    ranks = ("Adjusted Class Rank", "Current Class Rank", "Class Rank Change", "Adjusted Percentile", "Current Percentile")
+    assert shown(5, *ranks) == [1, 1, 0, 25, 25]  # unknown GPA ranks first
+    assert shown(1, *ranks) == shown(2, *ranks) == [2, 2, 0, 50, 50]
+    assert shown(3, *ranks) == [4, 4, 0, 100, 100]
+    assert shown(4, *ranks) == [1, 1, 0, 100, 100]
+    # Enrolled twice in the same school and grade: the totals count twice.
+    assert shown(5, "Credits Earned", "Adjusted Quality Points") == [4, 28]
+    assert len(out[1]) == 16
+    assert set(by_key(gpa_audit(tables, AuditRun(grades="09")), "Student ID")) == {4}
+    assert gpa_audit(tables, AuditRun(school_id=2)).count() == 0
+
+
+# ---------------------------------------------------------------- answer sheet
+
+
+def sheet_tables(spark, enrolments, schedules, key, **more):
+    uploads = [dict({f"_{i}": str(i % 2) for i in range(1, 26)}, student_id=s, test_score_="77", _3=None) for s in more.pop("uploaded", ["1"])]
+    return sis(
+        spark,
+        students=[dict(student_id=1, last_name="O'BRIEN-SMITH", first_name=None), dict(student_id=2, last_name="lee", first_name="ANN")],
+        schools=SCHOOLS,
+        school_gradelevels=GRADES,
+        marking_periods=PERIODS,
+        student_enrollment=enrolments,
+        schedule=schedules,
+        course_periods=[
+            dict(course_period_id=1, marking_period_id=12, period_id=1, course_id=1, teacher_id=1, syear=2021),
+            dict(course_period_id=2, marking_period_id=None, period_id=1, course_id=2, teacher_id=1, syear=2021),
+            dict(course_period_id=3, marking_period_id=13, period_id=1, course_id=1, teacher_id=1, syear=2021),  # second semester
+            dict(course_period_id=4, marking_period_id=12, period_id=1, course_id=3, teacher_id=1, syear=2021),  # other course
+        ],
+        school_periods=[dict(period_id=1)],
+        courses=[dict(course_id=i, syear=2021, title=t) for i, t in enumerate(["m/j civics", "US History", "Algebra"], 1)],
+        users=[dict(staff_id=1, last_name="van DYK", first_name="jo-ann")],
+        pm_civics_flip_temp=uploads,
+        pm_civics_standards_temp=key,
+    )
+
+
+KEY = [dict(question=str(i), standard=f"S{i}", description="d", reporting_category="r") for i in range(1, 26)]
+
+
+def placed(student=1, **more):
+    return dict(dict(enrolled(0, grade=7), student_id=student), **more)
+
+
+def scheduled(student=1, period=1, start="2021-08-11", end=None):
+    return dict(student_id=student, school_id=1, syear=2021, course_period_id=period, start_date=day(start), end_date=day(end))
+
+
+def test_answer_sheet(spark):
+    key = KEY[:4] + KEY[5:] + [dict(KEY[6], standard="again")]  # 05 missing, 07 twice, no 00
+    out = answer_rows(sheet_tables(spark, [placed()], [scheduled(), scheduled(period=3), scheduled(period=4)], key)).collect()
+    assert len(out) == 1 + 25
+    questions = [r["question"] for r in out]
+    assert "05" not in questions and questions.count("07") == 2 and questions.count("Overall Score") == 1
+    by_question = {r["question"]: r for r in out}
+    overall, first, third = by_question["Overall Score"], by_question["01"], by_question["03"]
+    assert (overall["score"], overall["answer"], overall["standard"]) == ("77", None, None)
+    assert (first["score"], first["answer"], first["standard"]) == (None, "1", "S1")
+    assert third["answer"] is None and third["standard"] == "S3"
+    assert (overall["student_full"], overall["teacher"], overall["course"]) == ("O'Brien-Smith, ", "Van Dyk, Jo-Ann", "m/j civics")
+    assert (overall["school_id"], overall["assessment_grade_level"], overall["enrollment_start"]) == ("0051", "07", dt.date(2021, 8, 11))
+    assert len(out[0]) == 22
+
+
+def counted(spark, *args, **more):
+    return answer_rows(sheet_tables(spark, *args, KEY, **more)).filter("question = 'Overall Score'").count()
+
+
+def test_answer_sheet_membership(spark):
+    assert counted(spark, [placed()], [scheduled(), scheduled(period=2)]) == 2  # two courses, two sets
+    assert counted(spark, [placed()], [scheduled(end="2022-03-08")]) == 1  # closed inside the window
+    assert counted(spark, [placed()], [scheduled(end="2022-03-01")]) == 1  # newest schedule by end
+    assert counted(spark, [placed()], [scheduled(end="2022-03-01"), scheduled(period=2)]) == 1  # the open one is newer
+    assert counted(spark, [placed()], [scheduled(start="2022-03-08")]) == 0
+    assert counted(spark, [placed(custom_9="Y")], [scheduled()]) == 0
+    assert counted(spark, [placed(end_date=day("2022-03-01"))], [scheduled()]) == 1
+    assert counted(spark, [placed(end_date=day("2021-08-01"), start_date=day("2021-08-01"))], [scheduled()]) == 0
+
+
+def test_answer_sheet_upload_copies(spark):
+    # Two equal uploaded rows: two students' rows times two sheets, as the file says.
+    assert counted(spark, [placed()], [scheduled()], uploaded=["1", "1"]) == 4
+    # Only one of two equal closed rows is the newest one.
+    assert counted(spark, [placed()], [scheduled(end="2022-03-01")], uploaded=["1", "1"]) == 2
+    assert counted(spark, [placed()], [scheduled()], uploaded=["2"]) == 0
+
+
+# ---------------------------------------------------------------- reconciliation
+
+OPTIONS = [
+    dict(id=i, code=c, label=c)
+    for i, c in enumerate(["43", "50", "0051", "0101", "LY", "ZZ", "0", "2", "Y", "YC", "N", "K", "F", "G", "A", "I", "DA", "DB"], 1)
+] + [dict(id=30, code="x", label="20182019")]
+OPTION = {o["code"]: o["id"] for o in OPTIONS}
+
+
+def filed(fleid="F1", **more):
+    given = dict(
+        record_id="1", district_of_enrollment="43", school_of_enrollment="51", fleid=fleid, zoned_district="43", zoned_school="51", grade_level="10",
+        ese_code="0", ell_code="LY", lunch_status="0", met_grade_10_ela_reading_requirement="Y", dropout_prevention_juvenile_justice_program_code=None,
+        withdrawn="N", withdrawal_date="0", year_entered_ninth_grade="1819",
+    )
+    return dict(given, **more)
+
+
+def person(student=1, fleid="F1", **more):
+    given = dict(
+        student_id=student, custom_200000224=fleid, custom_821=OPTION["43"], custom_822=OPTION["0051"], custom_626=OPTION["LY"], custom_71=OPTION["0"],
+        custom_200000244=OPTION["YC"], custom_1429=30, custom_196="052022", custom_2012197376="20220401",
+    )
+    return dict(given, **more)
+
+
+def ese(student, code, primary, active="A", dismissed=None):
+    return dict(source_id=student, field_id=457, log_field3=str(OPTION[code]), log_field4=primary, log_field6=str(OPTION[active]), log_field12=dismissed)
+
+
+def compare(spark, files, people, enrolments=None, entries=(), log=(), run=ReconciliationRun()):
+    tables = sis(
+        spark,
+        students=people,
+        schools=SCHOOLS,
+        school_gradelevels=GRADES,
+        student_enrollment=[placed(grade_id=10)] if enrolments is None else enrolments,
+        student_enrollment_codes=[dict(id=1, title="W02")],
+        custom_field_select_options=OPTIONS,
+        custom_field_log_entries=list(entries),
+        database_object_log=list(log),
+        users=[dict(staff_id=5)],
+        student_data_updates_temp=files,
+    )
+    return reconciliation(tables, run)
+
+
+def changed(student, text, at, action="UPDATE"):
+    return dict(student_id=student, user_id=5, action=action, after=text, log_time=dt.datetime.fromisoformat(at))
+
+
+def test_no_change(spark):
+    out = compare(spark, [filed()], [person()])
+    assert len(out.columns) == 63
+    (row,) = out.collect()
+    assert row["has_change"] is None and not any(row[c] for c in out.columns if c.endswith("_change"))
+    assert (row["doe_primary_ese_code"], row["focus_primary_ese_code"], row["focus_ela_met"], row["focus_ye9"]) == (None, None, "Y", "1819")
+
+
+def test_every_change(spark):
+    file = filed(
+        school_of_enrollment="101", zoned_district="50", zoned_school="0", grade_level="9", ese_code="FGZZZZZZZZ", ell_code="ZZ", lunch_status="2",
+        met_grade_10_ela_reading_requirement="N", dropout_prevention_juvenile_justice_program_code="DB", withdrawn="Y", withdrawal_date="20220301",
+        year_entered_ninth_grade="1920",
+    )
+    entries = [ese(1, "K", "Y"), ese(1, "F", None), ese(1, "G", "N", active="I"), ese(1, "G", "N", dismissed="2022-01-01")]
+    entries.append(dict(source_id=1, field_id=312, log_field1=str(OPTION["DA"]), log_field2="Y", log_field4="2022-02-20"))
+    entries.append(dict(source_id=1, field_id=312, log_field1=str(OPTION["DB"]), log_field2="Y", log_field4="2022-02-20", log_field5="2022-03-01"))
+    log = [
+        changed(1, "CUSTOM_821,CUSTOM_822", "2022-02-19T10:00:00"),
+        changed(1, "CUSTOM_822", "2022-02-21T10:00:00"),
+        changed(1, "LOG_FIELD4", "2022-02-22T10:00:00"),
+        changed(1, "LOG_FIELD6", "2022-02-23T10:00:00"),
+        changed(1, "GRADE_ID", "2022-02-17T10:00:00"),  # before the survey ended
+        changed(1, "CUSTOM_626", "2022-02-24T10:00:00", action="INSERT"),
+    ]
+    out = compare(spark, [file], [person()], entries=entries, log=log)
+    (row,) = out.collect()
+    assert row["has_change"] == "Y"
+    flags = [c for c in out.columns if c.endswith("_change") and c != "has_change"]
+    assert len(flags) == 12 and all(row[c] == "Y" for c in flags)
+    dates = {c: row[c] for c in out.columns if c.endswith("_change_date")}
+    assert dates == {
+        "zoned_district_change_date": "20220219",
+        "zoned_school_change_date": "20220221",
+        "grade_level_change_date": None,
+        "primary_ese_code_change_date": "20220222",
+        "other_ese_code_change_date": "20220223",
+        "ell_code_change_date": None,
+        "lunch_status_change_date": "20220401",
+        "ela_met_change_date": "20220501",
+        "dop_code_change_date": "20220220",
+        "withdrawn_change_date": None,
+    }
+    assert (row["doe_primary_ese_code"], row["focus_primary_ese_code"]) == ("F", "K")
+    assert (row["doe_other_ese_code"], row["focus_other_ese_code"]) == ("GZZZZZZZZ", "FZZZZZZZZ")
+    assert (row["focus_dop_code"], row["school_current"], row["school_current_start_date"]) == ("DA", "North", dt.date(2021, 8, 11))
+    assert (row["doe_withdrawn"], row["focus_withdrawn"], row["withdrawn_change_from"]) == ("Y", "N", "NEED TYPE")
+
+
+def test_other_code_change_alone_shows_its_date_only_without_the_quirk(spark):
+    entries, log = [ese(1, "K", "Y"), ese(1, "F", None)], [changed(1, "LOG_FIELD6", "2022-02-23T10:00:00")]
+    file = filed(ese_code="KGZZZZZZZZ")
+    for faithful, date in ((True, None), (False, "20220223")):
+        (row,) = compare(spark, [file], [person()], entries=entries, log=log, run=ReconciliationRun(faithful=faithful)).collect()
+        assert (row["primary_ese_code_change"], row["other_ese_code_change"], row["other_ese_code_change_date"]) == (None, "Y", date)
+
+
+def test_two_open_enrolments_repeat_codes_and_rows(spark):
+    both = [placed(grade_id=10), placed(grade_id=11, school_id=2), placed(grade_id=9, end_date=day("2022-03-01"), drop_code=1)]
+    out = compare(spark, [filed()], [person()], enrolments=both, entries=[ese(1, "F", None)]).collect()
+    assert sorted(r["focus_grade_level"] for r in out) == ["10", "11"]
+    assert {r["focus_other_ese_code"] for r in out} == {None}  # no primary code: shown as none
+    out = compare(spark, [filed()], [person()], enrolments=both, entries=[ese(1, "F", None), ese(1, "K", "Y")]).collect()
+    assert {r["focus_other_ese_code"] for r in out} == {"FFZZZZZZZ"}
+
+
+def test_withdrawn_student(spark):
+    gone = [placed(grade_id=9, end_date=day("2022-02-18"), drop_code=1)]
+    (row,) = compare(spark, [filed()], [person()], enrolments=gone).collect()
+    assert (row["focus_withdrawn"], row["withdrawn_change"], row["withdrawn_change_code"]) == ("Y", "Y", "W02")
+    assert row["withdrawn_change_date"] == dt.date(2022, 2, 18) and row["focus_ela_met"] == "Z"
+    (row,) = compare(spark, [filed()], [person()], enrolments=[placed(grade_id=9, end_date=day("2022-02-17"))]).collect()
+    assert row["focus_withdrawn"] == "N" and row["focus_grade_level"] is None
+
+
+def test_file_rows_without_a_match(spark):
+    out = by_key(compare(spark, [filed("nobody", record_id="a"), filed(None, record_id="b"), filed(None, record_id="b")], [person(), person(2, None)]), "record_id")
+    for record in "ab":
+        row = out[record]
+        assert (row["focus_zoned_district"], row["zoned_district_change"]) == ("00", "Y")
+        assert (row["focus_ye9"], row["ye9_change"], row["focus_grade_level"], row["focus_withdrawn"]) == ("", None, None, "N")
+
+
+def test_two_people_with_one_state_id(spark):
+    people = [person(1), person(2, custom_821=OPTION["50"])]
+    log = [changed(1, "CUSTOM_821", "2022-02-20T10:00:00"), changed(2, "CUSTOM_821", "2022-02-25T10:00:00")]
+    out = compare(spark, [filed()], people, enrolments=[placed(1, grade_id=10)], log=log).collect()
+    # The unchanged person shows no date; the changed one is met by both dates of the shared id.
+    assert sorted((r["focus_zoned_district"], r["zoned_district_change_date"]) for r in out if r["zoned_district_change"]) == [("50", "20220220"), ("50", "20220225")]
+    assert len(out) == 3
