@@ -46,14 +46,15 @@ def packed_code(
 
 
 def last_change_dates(
-    log: DataFrame, key: str, patterns: dict[str, str], since: dt.date, editors: DataFrame, subjects: DataFrame
+    log: DataFrame, key: str, patterns: dict[str, str], since: dt.date, editors: DataFrame, subjects: DataFrame | None = None
 ) -> DataFrame:
     """Per key: the date of the last ``UPDATE`` whose ``after`` text is LIKE each pattern.
 
     ``patterns`` maps result column -> LIKE pattern (an underscore matches any character). One
     scan serves all fields, each date is a conditional maximum that is combined before the
-    shuffle, and ``editors(user_id)`` / ``subjects(key)`` only test existence. Keys without any
-    matching change have no row.
+    shuffle, and ``editors(user_id)`` / ``subjects(key)`` only test existence; they are reduced to
+    different keys first, because a semi join cannot split a hot key of its right side. Keys
+    without any matching change have no row.
     """
     matches = {name: F.col("after").like(pattern) for name, pattern in patterns.items()}
     any_match = None
@@ -63,7 +64,7 @@ def last_change_dates(
     wanted = log.filter((F.col("action") == "UPDATE") & (day >= F.lit(since).cast("date")) & any_match)
     wanted = wanted.join(editors.select("user_id").distinct(), "user_id", "left_semi")
     latest = wanted.groupBy(key).agg(*[F.max(F.when(m, day)).alias(name) for name, m in matches.items()])
-    return latest.join(subjects.select(key).distinct(), key, "left_semi")
+    return latest if subjects is None else latest.join(subjects.select(key).distinct(), key, "left_semi")
 
 
 @dataclass(frozen=True)

@@ -111,7 +111,7 @@ def change_dates(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFr
     in_file = sis["student_data_updates_temp"].select("fleid").distinct()
     people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).join(in_file, "fleid", "left_semi")
     editors = sis["users"].select(F.col("staff_id").alias("user_id"))
-    dates = last_change_dates(sis["database_object_log"], "student_id", LOG_PATTERNS, run.survey_end, editors, people)
+    dates = last_change_dates(sis["database_object_log"], "student_id", LOG_PATTERNS, run.survey_end, editors)
     per_item = [F.collect_set(date_text(item)).alias(f"_{item}_dates") for item in LOG_PATTERNS]
     return dates.join(people, "student_id").groupBy("fleid").agg(*per_item)
 

@@ -10,6 +10,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordkit.queries.tables import read_given
+
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 BASE_ID = 4300200420
@@ -237,12 +239,12 @@ class Model(Mapping):
     """The derived tables as DataFrames over the given tables, each built on first use."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder, self._built = spark, folder.rstrip("/"), {}
+        self._spark, self._folder, self._built = spark, folder, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             text = MODEL[name]
-            given = {g: self._spark.read.parquet(f"{self._folder}/{g}.parquet") for g in GIVEN if "{" + g + "}" in text}
+            given = {g: read_given(self._spark, self._folder, g) for g in GIVEN if "{" + g + "}" in text}
             self._built[name] = self._spark.sql(text, **given)
         return self._built[name]
 

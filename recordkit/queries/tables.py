@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 MONEY = "decimal(18,2)"
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def read_given(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table. The schema of a path is looked up once, because asking for it runs a job."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
 
 class Tables:
     """Parquet tables of one folder, read on first use."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return read_given(self.spark, self.folder, name)
 
     def order_spans(self) -> DataFrame:
         """Orders as records with a start date and an end date that is NULL while open."""

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from helpers import by_key, day, rows
 from sis_fixture import sis
 
@@ -10,6 +11,20 @@ from recordkit.plans.reconciliation import ReconciliationRun, reconciliation
 from recordkit.plans.scale_update import scale_update
 from recordkit.plans.student_extract import student_extract
 
+
+
+@pytest.fixture(autouse=True)
+def interpreted(spark):
+    """Compiling the stages of a report takes longer than running them on a few rows."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 BASE = 4300200420
 SCHOOLS = [dict(id=1, title="North", custom_327="0051"), dict(id=2, title="South", custom_327="0101"), dict(id=3, title="Other", custom_327="0999")]
 GRADES = [dict(id=i, title=f"{i:02d}") for i in range(1, 13)]
