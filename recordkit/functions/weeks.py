@@ -34,6 +34,14 @@ def week_offset(day: Column, as_of: dt.date, week_start: str = "monday") -> Colu
     return (_week_number(day.cast("date"), week_start) - current).cast("int")
 
 
+def in_weeks(day: Column, as_of: dt.date, first: int, last: int, week_start: str = "monday") -> Column:
+    """Day or time within the weeks ``first`` to ``last`` relative to ``as_of``, as a range on the
+    column itself, so that files and partitions outside it are not read."""
+    current = as_of - dt.timedelta(days=(as_of.weekday() - WEEKDAYS.index(week_start)) % 7)
+    begin, end = (current + dt.timedelta(weeks=n) for n in (first, last + 1))
+    return (day >= F.lit(begin).cast("date")) & (day < F.lit(end).cast("date"))
+
+
 def is_blank(col: Column) -> Column:
     """Dashboard blank: a missing number equals zero."""
     return F.coalesce(col, F.lit(0)) == 0

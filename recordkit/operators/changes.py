@@ -61,7 +61,8 @@ def last_change_dates(
     for match in matches.values():
         any_match = match if any_match is None else any_match | match
     day = F.col("log_time").cast("date")
-    wanted = log.filter((F.col("action") == "UPDATE") & (day >= F.lit(since).cast("date")) & any_match)
+    # Compared as a point in time, not as a day, so that the condition reaches the scan.
+    wanted = log.filter((F.col("action") == "UPDATE") & (F.col("log_time") >= F.lit(since).cast("date")) & any_match)
     wanted = wanted.join(editors.select("user_id").distinct(), "user_id", "left_semi")
     latest = wanted.groupBy(key).agg(*[F.max(F.when(m, day)).alias(name) for name, m in matches.items()])
     return latest if subjects is None else latest.join(subjects.select(key).distinct(), key, "left_semi")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from recordkit.sources.tables import stage
+
 
 def newest_first(date: str, ties: list[str]) -> list[Column]:
     return [F.desc_nulls_first(date), *[F.asc_nulls_first(t) for t in ties]]
@@ -50,27 +52,21 @@ def first_row_flags(df: DataFrame, key: list[str], orders: dict[str, str]) -> Da
     """Mark, per flag, the row a descending ``row_number`` over ``key`` would number 1.
 
     ``orders`` maps flag name -> date column; all other columns break ties ascending. A window
-    would sort a whole key in one task. Here equal rows are counted first, the winner of each key
-    is a maximum that Spark combines before the shuffle, and rows are compared with it. Equal rows
-    are indistinguishable, so exactly one of their copies carries the flag.
+    would sort a whole key in one task. Here the rows are stored, the winner of each key is a
+    minimum that is combined before the shuffle, and every row is compared with it. The place of a
+    row in the stored files tells equal rows apart, so exactly one of their copies is marked and
+    copies need not be gathered.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    stored = stage(df, "rows-to-mark").select("*", F.struct("_metadata.file_name", "_metadata.row_index").alias("_row"))
 
-    def place(date: str) -> Column:
-        # The number of copies follows from the other columns; naming it keeps the two uses of
-        # ``counted`` alike, so that its shuffle is written once.
-        return newest_place(date, [*[c for c in columns if c != date], "_copies"])
+    def winner(date: str) -> Column:
+        place = newest_place(date, [*[c for c in columns if c != date], "_row"])
+        return F.min(place)["_row"]
 
-    winners = counted.groupBy(*[F.col(k).alias(f"_k_{k}") for k in key]).agg(
-        *[F.min(place(date)).alias(f"_first_{flag}") for flag, date in orders.items()]
+    winners = stored.groupBy(*[F.col(k).alias(f"_k_{k}") for k in key]).agg(
+        *[winner(date).alias(f"_first_{flag}") for flag, date in orders.items()]
     )
     same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
-    copies = counted.join(winners, same_key).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    )
-    flags = [
-        ((F.col("_copy") == 1) & (place(date) == F.col(f"_first_{flag}"))).alias(flag)
-        for flag, date in orders.items()
-    ]
-    return copies.select(*columns, *flags)
+    flags = [(F.col("_row") == F.col(f"_first_{flag}")).alias(flag) for flag in orders]
+    return stored.join(winners, same_key).select(*columns, *flags)

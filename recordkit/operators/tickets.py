@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.functions.text import join_text
-from recordkit.functions.weeks import duration_text, week_offset, week_over_week_text
+from recordkit.functions.weeks import duration_text, in_weeks, week_offset, week_over_week_text
 
 # Channel and call names and the columns they feed.
 APP_CHANNELS = ("Online", "Application")
@@ -31,6 +31,9 @@ class Week:
     def offset(self, day: Column) -> Column:
         return week_offset(day, self.as_of, self.starts_on)
 
+    def holds(self, day: Column, first: int, last: int) -> Column:
+        return in_weeks(day, self.as_of, first, last, self.starts_on)
+
 
 def calendar(days: DataFrame, day: str, week: Week) -> DataFrame:
     """The different days of a fact with their week offset: one row per day."""
@@ -52,9 +55,14 @@ def count_where(value: Column, condition: Column) -> Column:
 
 
 def week_over_week(fact: DataFrame, day: str, value: str, week: Week, by: list[str] | None = None, strict_blank: bool = False) -> DataFrame:
-    """Sentence comparing the means of the last two weeks; one row, or one per ``by`` group."""
+    """Sentence comparing the means of the last two weeks; one row, or one per ``by`` group.
+
+    Without groups only the two weeks are read. With groups all rows are, because a group without
+    tickets in these weeks has its sentence too.
+    """
     offset = week.offset(F.col(day))
-    means = fact.groupBy(*(by or [])).agg(
+    rows = fact if by else fact.filter(week.holds(F.col(day), -2, -1))
+    means = rows.groupBy(*(by or [])).agg(
         mean_where(F.col(value), offset == -1).alias("last_week"),
         mean_where(F.col(value), offset == -2).alias("prior_week"),
     )
@@ -66,7 +74,7 @@ def mean_duration(
     fact: DataFrame, day: str, seconds: str, ticket: str, week: Week, counted: DataFrame | None = None, by: list[str] | None = None, exact: bool = False
 ) -> DataFrame:
     """Mean duration of last week as text. The ticket number is 0 if ``fact`` has none last week,
-    else the one of ``counted`` (by default the same table)."""
+    else the one of ``counted`` (by default the same table). Without groups only last week is read."""
     groups = by or []
     none = F.lit(None)
     rows = fact.select(*groups, F.col(day).alias("_day"), F.col(seconds).alias("_seconds"), F.col(ticket).alias("_own"), none.alias("_other"), F.lit(1).alias("_fact"))
@@ -74,7 +82,9 @@ def mean_duration(
         rows = rows.unionByName(
             counted.select(*groups, F.col(day).alias("_day"), none.alias("_seconds"), none.alias("_own"), F.col(ticket).alias("_other"), none.alias("_fact"))
         )
-    last_week = week.offset(F.col("_day")) == -1
+    last_week = week.holds(F.col("_day"), -1, -1)
+    if not groups:
+        rows = rows.filter(last_week)
     means = rows.groupBy(*groups).agg(
         mean_where(F.col("_seconds"), last_week).alias("_mean"),
         count_where(F.col("_own"), last_week).alias("_own"),
@@ -91,7 +101,7 @@ def channel_counts(
     fact: DataFrame, first_id: str, second_id: str, day: str, week: Week, app_value: str, value: str, channel: str, call_type: str
 ) -> DataFrame:
     """Tickets of last week per channel for every pair of ids, zeros included."""
-    last_week = week.offset(F.col(day)) == -1
+    last_week = week.holds(F.col(day), -1, -1)
     name, call = F.col(channel), F.col(call_type)
     voice = last_week & (name == VOICE_CHANNEL)
     counts = {

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordkit.functions.rules import any_flag, uploaded_id
 from recordkit.functions.text import date_text, join_text, month_year_to_date, pad_zeros, school_year_code
 from recordkit.operators.changes import ColumnPair, compare_columns, last_change_dates, packed_code, where_changed
+from recordkit.operators.joins import left_fan
 from recordkit.operators.keys import active_or_latest
 from recordkit.operators.lookup import decode_options, one_option_per_id
 from recordkit.sources.tables import stage
@@ -45,9 +46,14 @@ class ReconciliationRun:
     faithful: bool = True
 
 
+def file_ids(sis: Mapping[str, DataFrame]) -> DataFrame:
+    """The different state ids of the file; only they can appear in the result."""
+    return sis["student_data_updates_temp"].select("fleid").filter("fleid IS NOT NULL").distinct()
+
+
 def last_enrollment(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFrame:
-    """Open enrolments, or the newest one that ended since the survey, of main schools. People
-    without a state id cannot match the file and are left out."""
+    """Open enrolments, or the newest one that ended since the survey, of main schools, of the
+    people in the file."""
     end = F.col("end_date")
     rows = (
         sis["student_enrollment"]
@@ -64,7 +70,7 @@ def last_enrollment(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> Dat
     rows = rows.join(school, "school_id").join(grade, "grade_id").join(code, "drop_code", "left")
     shown = ["start_date", "drop_title", "grade", "school", "school_num"]
     rows = rows.select("student_id", "end_date", *shown)
-    people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).filter("fleid IS NOT NULL")
+    people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).join(file_ids(sis), "fleid", "left_semi")
     return active_or_latest(rows, ["student_id"], "end_date", shown).join(people, "student_id")
 
 
@@ -108,8 +114,7 @@ def prevention_programs(sis: Mapping[str, DataFrame], enrolled: DataFrame, optio
 def change_dates(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFrame:
     """Per state id and audited item: the different dates of last change of the people who share
     the id (one person, one date, unless the id is used twice)."""
-    in_file = sis["student_data_updates_temp"].select("fleid").distinct()
-    people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).join(in_file, "fleid", "left_semi")
+    people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).join(file_ids(sis), "fleid", "left_semi")
     editors = sis["users"].select(F.col("staff_id").alias("user_id"))
     dates = last_change_dates(sis["database_object_log"], "student_id", LOG_PATTERNS, run.survey_end, editors)
     per_item = [F.collect_set(date_text(item)).alias(f"_{item}_dates") for item in LOG_PATTERNS]
@@ -140,10 +145,7 @@ def system_side(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFra
         prevention_programs(sis, enrolled, options, run),
         change_dates(sis, run),
     ]
-    in_file = sis["student_data_updates_temp"].select("fleid").filter("fleid IS NOT NULL").distinct()
-    for side in sides:
-        in_file = in_file.join(side, "fleid", "left")
-    return in_file
+    return left_fan(file_ids(sis), sides, ["fleid"])
 
 
 def reconciliation(sis: Mapping[str, DataFrame], run: ReconciliationRun = ReconciliationRun(), system_name: str = "focus", file_name: str = "doe") -> DataFrame:
