@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.functions.text import join_text, short_number
 
@@ -72,40 +72,45 @@ def week_over_week_text(last: Column, prior: Column, strict_blank: bool = False)
     return text.when(p > q, sentence("declined")).when(p < q, sentence("improved")).otherwise(NOT_PULLED)
 
 
-def duration_text(seconds: Column, tickets: Column, exact: bool = False) -> Column:
-    """Seconds as ``1d 2h 3m 4s``, leaving out leading units that are zero.
+def with_duration_text(df: DataFrame, seconds: str, tickets: str, name: str, exact: bool = False) -> DataFrame:
+    """Add seconds as ``1d 2h 3m 4s``, leaving out leading units that are zero.
 
     The default keeps the displayed rule: each unit is taken from the rest of the one above in
     floating point and seconds are rounded last, so 119.7 shows ``1m 60s``. ``exact`` rounds the
-    total first and splits it in whole numbers.
+    total first and splits it in whole numbers. Every unit is a column of its own, because one
+    nested expression would compute the upper units again in each lower one.
     """
+    given = F.col(seconds)
     if exact:
-        total = F.round(seconds.cast("decimal(38,9)"), 0).cast("bigint")
-        hours = F.floor(total / 3600)
-        minutes = F.floor((total % 3600) / 60)
-        rest = total % 60
+        df = df.withColumn("_total", F.round(given.cast("decimal(38,9)"), 0).cast("bigint"))
+        df = df.withColumns({"_h": F.floor(F.col("_total") / 3600), "_m": F.floor(F.col("_total") % 3600 / 60), "_s": F.col("_total") % 60})
     else:
-        in_hours = seconds.cast("double") / 3600
-        hours = _toward_zero(in_hours)
-        in_minutes = (in_hours - hours) * 60
-        minutes = _toward_zero(in_minutes)
-        rest = F.round((in_minutes - minutes) * 60, 0).cast("bigint")
-    days = _toward_zero(hours / 24)
+        df = df.withColumn("_hours", given.cast("double") / 3600)
+        df = df.withColumn("_h", _toward_zero(F.col("_hours")))
+        df = df.withColumn("_minutes", (F.col("_hours") - F.col("_h")) * 60)
+        df = df.withColumn("_m", _toward_zero(F.col("_minutes")))
+        df = df.withColumn("_s", F.round((F.col("_minutes") - F.col("_m")) * 60, 0).cast("bigint"))
+    df = df.withColumn("_d", _toward_zero(F.col("_h") / 24))
+    hours, minutes, days = F.col("_h"), F.col("_m"), F.col("_d")
     hours_of_day = F.round((hours / 24 - days) * 24, 0).cast("bigint")
 
-    def spell(*pairs: tuple[Column, str]) -> Column:
-        return F.concat_ws(" ", *[F.concat(value.cast("string"), F.lit(unit)) for value, unit in pairs])
-
-    tail = [(minutes, "m"), (rest, "s")]
-    return (
-        F.when(is_blank(tickets), NO_TICKETS)
-        .when(is_blank(seconds), IMMEDIATE)
-        .when((hours < 1) & (minutes < 1), spell((rest, "s")))
-        .when(hours < 1, spell(*tail))
-        .when((hours >= 1) & (hours < 24), spell((hours, "h"), *tail))
-        .when(hours >= 24, spell((days, "d"), (hours_of_day, "h"), *tail))
+    def unit(value: Column, letter: str) -> Column:
+        return F.concat(value.cast("string"), F.lit(letter))
+
+    spelled = F.concat_ws(
+        " ",
+        F.when(hours >= 24, unit(days, "d")),
+        F.when(hours >= 24, unit(hours_of_day, "h")).when(hours >= 1, unit(hours, "h")),
+        F.when((hours >= 1) | (minutes >= 1), unit(minutes, "m")),
+        unit(F.col("_s"), "s"),
+    )
+    text = (
+        F.when(is_blank(F.col(tickets)), NO_TICKETS)
+        .when(is_blank(given), IMMEDIATE)
+        .when(hours.isNotNull(), spelled)
         .otherwise(UNEXPECTED)
     )
+    return df.withColumn(name, text).drop("_total", "_hours", "_h", "_minutes", "_m", "_s", "_d")
 
 
 def _toward_zero(col: Column) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.functions.text import join_text
-from recordkit.functions.weeks import duration_text, in_weeks, week_offset, week_over_week_text
+from recordkit.functions.weeks import in_weeks, week_offset, week_over_week_text, with_duration_text
 
 # Channel and call names and the columns they feed.
 APP_CHANNELS = ("Online", "Application")
@@ -94,7 +94,8 @@ def mean_duration(
     if groups:
         means = means.filter("_rows > 0")
     tickets = F.col("_own") if counted is None else F.when(F.col("_own") == 0, 0).otherwise(F.col("_other"))
-    return means.select(*groups, duration_text(F.col("_mean"), tickets, exact).alias("resolution_time"))
+    shown = with_duration_text(means.withColumn("_tickets", tickets), "_mean", "_tickets", "resolution_time", exact)
+    return shown.select(*groups, "resolution_time")
 
 
 def channel_counts(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordkit.functions.rules import any_flag, band_level, derived_yes_no, flag, growth, masked_id, percent
 from recordkit.functions.text import date_text, full_name, join_text, month_year_to_date, pad_zeros, school_year_code, without, word_capitals
-from recordkit.functions.weeks import duration_text, week_over_week_text
+from recordkit.functions.weeks import week_over_week_text, with_duration_text
 from recordkit.operators.changes import ColumnPair, compare_columns, last_change_dates, packed_code, where_changed
 from recordkit.operators.grades import credit_totals, enrolled_at_period_end, first_rule, gpa, quality_points, scale_points
 from recordkit.operators.joins import left_fan, left_join_where, renamed
@@ -606,10 +606,9 @@ def _humanise_duration(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_id") % 9
     scale = F.pow(F.lit(10), kind - 3).cast(MONEY)
     seconds = F.when(kind == 1, 0.0).when(kind > 1, (F.col("value").cast(MONEY) * scale).cast("double"))
-    tickets = F.col("event_id") % 10
-    return Tables(spark, folder).events.select(
-        "event_id", duration_text(seconds, tickets).alias("shown"), duration_text(seconds, tickets, exact=True).alias("exact")
-    )
+    given = Tables(spark, folder).events.select("event_id", seconds.alias("seconds"), (F.col("event_id") % 10).alias("tickets"))
+    shown = with_duration_text(given, "seconds", "tickets", "shown")
+    return with_duration_text(shown, "seconds", "tickets", "exact", exact=True).select("event_id", "shown", "exact")
 
 
 @query(

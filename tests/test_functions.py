@@ -148,6 +148,7 @@ def test_week_over_week_text(spark, last, prior, expected, strict):
     ],
 )
 def test_duration_text(spark, seconds, shown, exact):
-    s, n = F.col("s"), F.lit(3)
-    out = evaluate(spark, "s double", [(seconds,)], weeks.duration_text(s, n), weeks.duration_text(s, n, exact=True), weeks.duration_text(s, F.lit(0)))
-    assert out == [(shown, exact, "N/A")]
+    frame = spark.createDataFrame([(seconds, 3, 0)], "s double, n int, none int")
+    for tickets, name, how in (("n", "shown", False), ("n", "exact", True), ("none", "empty", False)):
+        frame = weeks.with_duration_text(frame, "s", tickets, name, how)
+    assert rows(frame.select("shown", "exact", "empty")) == [(shown, exact, "N/A")]
