@@ -21,10 +21,21 @@ def small_lookup(lookup: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame:
 
 
 def left_fan(spine: DataFrame, sides: list[DataFrame], key: list[str]) -> DataFrame:
-    """Left join several sides onto a spine on the same key; the spine is shuffled once."""
+    """Left join several sides onto a spine on the same key; the spine is shuffled once. The
+    sides should hold few rows per key."""
     return reduce(lambda left, right: left.join(right, key, "left"), sides, spine)
 
 
+def with_placeholders(side: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The side plus an empty row for each of the different ``keys`` it lacks.
+
+    An inner join with the result keeps every key, as a left join would. Adaptive execution can
+    split hot keys of both sides of an inner join, but none on the right of a left join.
+    """
+    lacking = keys.join(side.select(key).distinct(), key, "left_anti")
+    return side.unionByName(lacking, allowMissingColumns=True)
+
+
 def left_join_where(left: DataFrame, right: DataFrame, condition: Column, drop: list[str]) -> DataFrame:
     """Left join under any condition (also on left-side columns), then drop helper columns."""
     return left.join(right, condition, "left").drop(*drop)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recordkit.functions.rules import any_flag, uploaded_id
 from recordkit.functions.text import date_text, join_text, month_year_to_date, pad_zeros, school_year_code
 from recordkit.operators.changes import ColumnPair, compare_columns, last_change_dates, packed_code, where_changed
-from recordkit.operators.joins import left_fan
+from recordkit.operators.joins import left_fan, with_placeholders
 from recordkit.operators.keys import active_or_latest
 from recordkit.operators.lookup import decode_options, one_option_per_id
 from recordkit.sources.tables import stage
@@ -122,7 +122,10 @@ def change_dates(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFr
 
 
 def system_side(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFrame:
-    """Everything the system knows per state id."""
+    """Everything the system knows per state id of the file; an unknown id has a row as well.
+
+    Programs have at most one row per code and day, codes and dates one row per id.
+    """
     options = one_option_per_id(sis["custom_field_select_options"])
     enrolled = stage(last_enrollment(sis, run), "last-enrollment")
     people = sis["students"].filter("custom_200000224 IS NOT NULL").select(
@@ -138,14 +141,16 @@ def system_side(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFra
         "_ninth_label": ("custom_1429", "label"),
     }
     people = decode_options(people, options, decoded).select("fleid", *decoded, "custom_196", "custom_2012197376")
-    sides = [
-        people,
-        enrolled.drop("student_id").withColumnRenamed("withdrawn", "_withdrawn"),
+    in_file = file_ids(sis)
+    known = in_file
+    for side in (people, enrolled.drop("student_id").withColumnRenamed("withdrawn", "_withdrawn")):
+        known = known.join(with_placeholders(side, in_file, "fleid"), "fleid")
+    reduced = [
         disability_codes(sis, enrolled, options).withColumnRenamed("code", "_ese"),
         prevention_programs(sis, enrolled, options, run),
         change_dates(sis, run),
     ]
-    return left_fan(file_ids(sis), sides, ["fleid"])
+    return left_fan(known, reduced, ["fleid"])
 
 
 def reconciliation(sis: Mapping[str, DataFrame], run: ReconciliationRun = ReconciliationRun(), system_name: str = "focus", file_name: str = "doe") -> DataFrame:
@@ -153,11 +158,12 @@ def reconciliation(sis: Mapping[str, DataFrame], run: ReconciliationRun = Reconc
 
     ``system_name`` and ``file_name`` prefix the compared columns. The system side is written once
     and joined once to the file, so that a state id that fills a third of the file is split by the
-    adaptive join; file rows without an id take no part in the join.
+    adaptive join (every id of the file is on the system side, so an inner join loses none); file
+    rows without an id take no part in it.
     """
     system = stage(system_side(sis, run), "system-side")
     file = sis["student_data_updates_temp"]
-    with_id = file.filter("fleid IS NOT NULL").join(system, "fleid", "left")
+    with_id = file.filter("fleid IS NOT NULL").join(system, "fleid")
     rows = with_id.unionByName(file.filter("fleid IS NULL"), allowMissingColumns=True)
 
     def f(name: str) -> Column:

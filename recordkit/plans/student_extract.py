@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordkit.functions.rules import band_level, derived_yes_no, flag, growth, masked_id, presence_flag, uploaded_id, yes_no
 from recordkit.functions.text import without
-from recordkit.operators.joins import left_fan
+from recordkit.operators.joins import left_fan, with_placeholders
 from recordkit.operators.keys import latest_per_key
 from recordkit.operators.lookup import decode_options, one_option_per_id
 from recordkit.operators.measures import ScoreKind, attendance_rate, distinct_events, latest_scores, rate_columns
+from recordkit.sources.tables import stage
 
 
 @dataclass(frozen=True)
@@ -81,9 +82,10 @@ def newest_scores(sis: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def student_extract(sis: Mapping[str, DataFrame], run: ExtractRun = ExtractRun()) -> DataFrame:
-    """The extract. Every side is reduced per student before it meets the spine, so the spine is
-    used once and the fact tables shuffle partial results; the two uploads are not reduced, and a
-    student uploaded twice has two rows."""
+    """The extract. Every side is reduced per student before it meets the spine, so the fact
+    tables shuffle partial results. The two uploads are not reduced, and a student uploaded twice
+    has two rows; they meet the stored spine first, which is small for a few schools, and then
+    need no shuffle."""
     year = F.col("syear") == run.syear
     uploads = {
         "benchmark_ia1_to_ia4_temp": ["ia1_p1", "ia4_p1"],
@@ -93,12 +95,13 @@ def student_extract(sis: Mapping[str, DataFrame], run: ExtractRun = ExtractRun()
         attendance_rate(sis["attendance_day"].filter(year), ["student_id"], "state_value"),
         distinct_events(sis["discipline_referrals"].filter(year), ["student_id"], "referral_id"),
         newest_scores(sis),
-        *[
-            sis[name].select(uploaded_id(F.col("student_id")).alias("student_id"), *columns).filter("student_id IS NOT NULL")
-            for name, columns in uploads.items()
-        ],
     ]
-    full = left_fan(student_spine(sis, run), sides, ["student_id"])
+    rows = stage(student_spine(sis, run), "student-spine")
+    students = rows.select("student_id")
+    for name, columns in uploads.items():
+        upload = sis[name].select(uploaded_id(F.col("student_id")).alias("student_id"), *columns).filter("student_id IS NOT NULL")
+        rows = rows.join(with_placeholders(upload, students, "student_id"), "student_id")
+    full = left_fan(rows, sides, ["student_id"])
     shown_id = masked_id(F.col("student_id"), *run.id_offsets)
     rate = rate_columns(F.col("present"), F.col("total"), run.attendance_threshold)
     ela, math = F.col("fsa_ela.score"), F.col("fsa_math.score")

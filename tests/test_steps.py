@@ -6,7 +6,7 @@ from helpers import bag, by_key, day, rows
 from pyspark.sql import functions as F
 
 from recordkit.operators.grades import enrolled_at_period_end, gpa, quality_points, scale_points
-from recordkit.operators.joins import left_fan, left_join_where, small_lookup
+from recordkit.operators.joins import left_fan, left_join_where, small_lookup, with_placeholders
 from recordkit.operators.lookup import decode_options, one_option_per_id
 from recordkit.operators.measures import attendance_rate, distinct_events, rate_columns
 from recordkit.operators.reshape import unpivot_scores
@@ -72,6 +72,13 @@ def test_joins_keep_the_left_side(spark):
     assert sorted(rows(out), key=str) == [(1, "Y", "a"), (2, None, None)]
 
 
+def test_placeholders_keep_every_key(spark):
+    side = spark.createDataFrame([(1, "a"), (1, "b"), (9, "c")], "k int, v string")
+    keys = spark.createDataFrame([(1,), (2,)], "k int")
+    out = with_placeholders(side, keys, "k")
+    assert sorted(rows(keys.join(out, "k")), key=str) == sorted(rows(keys.join(side, "k", "left")), key=str)
+
+
 def test_unpivot_scores(spark):
     sheet = spark.createDataFrame([("s1", "80", "1", None), ("s2", None, "0", "1")], "student string, total string, _1 string, _2 string")
     key = spark.createDataFrame([("1", "A"), ("1", "B")], "question string, standard string")  # two rows for 01, none for 00 and 02
