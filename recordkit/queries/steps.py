@@ -24,7 +24,7 @@ from recordkit.queries.registry import query
 from recordkit.queries.sis import model, model_sql
 from recordkit.queries.tables import MONEY, Tables
 from recordkit.sources.params import optional_equals, value_or_all
-from recordkit.sources.tables import repeated_keys, stage
+from recordkit.sources.tables import new_folder, read_upload, repeated_keys, stage
 
 SPANS = """
 WITH spans AS (
@@ -664,6 +664,20 @@ def _param_report(spark: SparkSession, folder: str) -> DataFrame:
     return report("one nation, two segments", 7, offered[:2]).unionByName(report("every nation, all", None, "ALL"))
 
 
+@query(
+    "upload_as_text",
+    """SELECT lpad(c_custkey::VARCHAR, 6, '0') AS student_id, nullif(c_mktsegment, 'BUILDING') AS _1, c_nationkey::VARCHAR AS _2 FROM customer""",
+)
+def _upload_as_text(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "upload")
+    segment, nation = F.col("c_mktsegment"), F.col("c_nationkey")
+    sheet = Tables(spark, folder).customer.select(
+        F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("student_id"), F.when(segment != "BUILDING", segment).alias("_1"), nation.alias("_2")
+    )
+    sheet.write.option("header", True).csv(path)
+    return read_upload(spark, path, ["student_id", "_1", "_2"])
+
+
 @query("repeated_keys", "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def _repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_keys(Tables(spark, folder).lineitem, "l_orderkey", "l_linenumber")

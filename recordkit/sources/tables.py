@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+# The folder of a local session without the setting; made on first use.
+_own_folder: list[str] = []
+
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A Parquet path if it looks like one, else a catalog table."""
@@ -31,15 +34,16 @@ def repeated_keys(df: DataFrame, *key: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; unset, only a local session gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir`` or set as checkpoint folder of the context; with
+    neither, only a local session gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="recordkit-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="recordkit-"))
+    return _own_folder[0]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -21,6 +21,20 @@ def test_an_upload_with_other_columns_is_refused(spark, tmp_path):
         read_upload(spark, str(path), ["student_id", "_1"]).collect()
 
 
+class Unset:
+    """A session in which ``spark.checkpoint.dir`` is not set."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "getCheckpointDir": lambda self: None})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})()
+
+
+def test_only_a_local_session_gets_its_own_folder():
+    assert shared_folder(Unset("local[4]")) == shared_folder(Unset("local[4]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Unset("spark://host:7077"))
+
+
 def test_stage_writes_below_the_shared_folder(spark):
     frame = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
     out = stage(frame, "test-stage")
