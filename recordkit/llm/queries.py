@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordkit.llm.common import table
 from recordkit.llm.exact_dedup import exact_groups
+from recordkit.llm.simhash import simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,3 +29,8 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
     sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_groups(table(spark, folder, "documents"), shingle=3, radius=2)
