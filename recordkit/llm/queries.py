@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from recordkit.llm.bpe import encode
 from recordkit.llm.common import table
 from recordkit.llm.exact_dedup import exact_groups
 from recordkit.llm.simhash import simhash_groups
@@ -34,3 +36,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 @query
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(table(spark, folder, "documents"), shingle=3, radius=2)
+
+
+@query
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
