@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from recordkit.llm.bpe import encode
 from recordkit.llm.common import table
 from recordkit.llm.exact_dedup import exact_groups
+from recordkit.llm.language import detect, dictionaries
 from recordkit.llm.simhash import simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,9 @@ def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return detect(docs, dictionaries(docs))
