@@ -11,6 +11,7 @@ from recordkit.llm.bpe import encode
 from recordkit.llm.common import table
 from recordkit.llm.exact_dedup import exact_groups
 from recordkit.llm.language import detect, dictionaries
+from recordkit.llm.quality import quality_rules
 from recordkit.llm.simhash import simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,8 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return detect(docs, dictionaries(docs))
+
+
+@query
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"))
