@@ -13,6 +13,7 @@ from recordkit.llm.exact_dedup import exact_groups
 from recordkit.llm.language import detect, dictionaries
 from recordkit.llm.quality import quality_rules
 from recordkit.llm.simhash import simhash_groups
+from recordkit.llm.toxicity import fit, score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,3 +55,9 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return score(docs, fit(docs, table(spark, folder, "labels")))
