@@ -14,6 +14,7 @@ from recordkit.llm.language import detect, dictionaries
 from recordkit.llm.quality import quality_rules
 from recordkit.llm.simhash import simhash_groups
 from recordkit.llm.toxicity import fit, score
+from recordkit.llm.urls import filter_urls, fit_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +62,9 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return score(docs, fit(docs, table(spark, folder, "labels")))
+
+
+@query
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return filter_urls(pages, fit_urls(pages))
