@@ -11,6 +11,7 @@ from recordkit.llm.bpe import encode
 from recordkit.llm.common import table
 from recordkit.llm.exact_dedup import exact_groups
 from recordkit.llm.language import detect, dictionaries
+from recordkit.llm.licenses import scan_licenses, template_words
 from recordkit.llm.quality import quality_rules
 from recordkit.llm.simhash import simhash_groups
 from recordkit.llm.toxicity import fit, score
@@ -68,3 +69,29 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return filter_urls(pages, fit_urls(pages))
+
+
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+SQL["op5_license_scan"] = f"""
+WITH listed AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w != '') AS words FROM documents),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM listed),
+templates(template, base, place_in, word, must) AS (VALUES {", ".join(f"('{label}', {base}, {place}, '{word}', {int(must)})" for label, base, _, place, word, must in template_words())}),
+sizes AS (SELECT template, count(*) AS size, sum(must) AS needed FROM templates GROUP BY template),
+places AS (
+    SELECT doc_id, template, base, place - place_in AS start, count(*) / any_value(size) AS share
+    FROM placed JOIN templates USING (word) JOIN sizes USING (template) GROUP BY doc_id, template, base, start
+    HAVING sum(must) = any_value(needed) AND share >= 0.8 AND start >= 0),
+found AS (
+    SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+        string_agg(DISTINCT template, ',' ORDER BY template) FILTER (base) AS base_labels, string_agg(DISTINCT template, ',' ORDER BY template) AS labels, max(share) AS score
+    FROM places GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+    coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM listed LEFT JOIN found USING (doc_id)
+"""
