@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordkit.llm.bpe import encode
 from recordkit.llm.common import table
 from recordkit.llm.exact_dedup import exact_groups
 from recordkit.llm.language import detect, dictionaries
 from recordkit.llm.licenses import scan_licenses, template_words
+from recordkit.llm.mixing import mix
 from recordkit.llm.quality import quality_rules
 from recordkit.llm.simhash import simhash_groups
 from recordkit.llm.toxicity import fit, score
 from recordkit.llm.urls import filter_urls, fit_urls
 
+# Domains of the labelled table, and the share of all tokens each should have.
+WEIGHTS = {"good": 0.85, "poor": 0.12, "toxic": 0.03}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -95,3 +99,13 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
     coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
 FROM listed LEFT JOIN found USING (doc_id)
 """
+
+
+def domain_of_labels() -> Column:
+    """``toxic`` before ``good`` and ``poor``; null without a quality."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+
+
+@query
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"), table(spark, folder, "labels"), domain_of_labels(), WEIGHTS)
