@@ -1,16 +1,82 @@
-"""From raw documents to token counts of a cleaned, mixed corpus: five stages, each on all rows its predecessor kept."""
+"""From raw documents to token digests of a cleaned, mixed corpus: five stages, each on all rows its predecessor kept.
+
+A document is what its ``doc_id`` names: rows that share an id (or have none) are judged together where a stage decides
+by id, and a row that repeats another's id and text goes with the exact copies.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from recordkit.llm.bpe import encode
+from recordkit.llm.common import rows_named, table
+from recordkit.llm.exact_dedup import exact_groups
+from recordkit.llm.mixing import mix
+from recordkit.llm.queries import domain_of_labels
+from recordkit.llm.simhash import simhash_groups
+from recordkit.llm.toxicity import fit, score
+from recordkit.sources.tables import stage
+
+# Shares of the tokens that remain, with no document taken more than once.
+WEIGHTS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}
+
+
+def by_id(docs: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    return rows_named(docs, names.select("doc_id").distinct(), {"doc_id": F.col("doc_id")}, how)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is not predicted toxic."""
+    judged = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    rejected = stage(judged.filter("predicted = 1").select("doc_id"), "toxic-ids")
+    return by_id(docs, rejected, "left_anti")
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the largest id."""
+    kept = stage(exact_groups(docs).filter("kept").select("doc_id"), "kept-ids")
+    left = by_id(docs, kept, "left_semi")
+    again = stage(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        return left
+    return by_id(left, again, "left_anti").unionByName(by_id(left, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near fingerprints, the one with the smallest id."""
+    groups = simhash_groups(docs, shingle=3, radius=2)
+    kept = stage(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "kept-ids")
+    return by_id(docs, kept, "left_semi")
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn at their fitted rate, by a hash of their id; none is taken twice."""
+    rated = mix(docs, table(spark, sf_dir, "labels"), domain_of_labels(), WEIGHTS, most=1.0)
+    place = F.xxhash64(F.lit("mix"), F.col("doc_id").cast("string")).cast("double") / 2.0**64 + 0.5
+    kept = stage(rated.filter(place < F.col("rate")).select("doc_id"), "drawn-ids")
+    return by_id(docs, kept, "left_semi")
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text of each document."""
+    return encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
-STAGES: list = []
-# Scores, chunk recipes, fingerprints, fitted rates and token ids have no SQL form.
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("SimHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_domains),
+    ("BPE encoding and decoding", encode_tokens),
+]
+# Scores, chunk recipes, fingerprints, fitted rates and token ids have no SQL form; tests hold it against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages on ``documents``; what a stage keeps is written, and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
