@@ -13,6 +13,7 @@ from recordkit.llm.exact_dedup import exact_groups
 from recordkit.llm.language import detect, dictionaries
 from recordkit.llm.licenses import scan_licenses, template_words
 from recordkit.llm.mixing import mix
+from recordkit.llm.passages import repeated_passages
 from recordkit.llm.quality import quality_rules
 from recordkit.llm.simhash import simhash_groups
 from recordkit.llm.toxicity import fit, score
@@ -109,3 +110,8 @@ def domain_of_labels() -> Column:
 @query
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"), table(spark, folder, "labels"), domain_of_labels(), WEIGHTS)
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
