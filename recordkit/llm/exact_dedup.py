@@ -65,10 +65,10 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         within = Window.partitionBy("name").orderBy("piece")  # the few different chunks of one name
         numbers = different.join(shared_names, "name", "left_semi").withColumn("number", F.row_number().over(within))
         told = chunks.join(numbers, ["name", "piece"], "left").select(
-            "row", F.struct("place", F.concat("name", F.coalesce("number", F.lit(0)).cast("long").cast("binary")).alias("id")).alias("at")
+            "row", F.struct("place", F.concat(F.hex("name"), F.lpad(F.hex(F.coalesce("number", F.lit(0))), 16, "0")).alias("id")).alias("at")
         )
         lists = told.groupBy("row").agg(F.array_sort(F.collect_list("at")).alias("at"))
-        joined = lists.select("row", F.unhex(F.array_join(F.transform("at", lambda x: F.hex(x["id"])), "")).alias("verified"))
+        joined = lists.select("row", F.unhex(F.array_join(F.transform("at", lambda x: x["id"]), "")).alias("verified"))
         texts = (
             places.filter("recipe is not null").join(joined, "row", "left")
             .select("doc_id", "row", "text_sha256", F.coalesce("verified", "recipe").alias("recipe"))

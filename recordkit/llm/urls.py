@@ -111,8 +111,8 @@ def _differences(rows: Iterator[tuple], model: UrlModel) -> Iterator[tuple]:
 
 
 def best_edge(classes: list[tuple[str, int, int]]) -> float:
-    """The point with the best mean of the shares of accepted URLs at or above it and rejected ones below; of equals the
-    lowest. ``classes``: verdict, class and number of URLs."""
+    """The point with the best mean of the shares of accepted URLs at or above it and rejected ones below: the middle
+    between two classes that hold URLs, of equals the lowest. ``classes``: verdict, class and number of URLs."""
     total = Counter()
     for verdict, _, n in classes:
         total[verdict] += n
@@ -121,12 +121,12 @@ def best_edge(classes: list[tuple[str, int, int]]) -> float:
     by_class: dict[int, Counter] = {}
     for verdict, at, n in classes:
         by_class.setdefault(at, Counter())[verdict] += n
-    best, edge, above, below = -1.0, 0.0, total["allow"], 0
+    best, edge, above, below, last = -1.0, 0.0, total["allow"], 0, min(by_class) - 1
     for at in [*sorted(by_class), max(by_class) + 1]:
         if (worth := above / total["allow"] + below / total["block"]) > best + 1e-12:
-            best, edge = worth, at / CLASSES
+            best, edge = worth, (last + 1 + at) / 2 / CLASSES
         here = by_class.get(at, Counter())
-        above, below = above - here["allow"], below + here["block"]
+        above, below, last = above - here["allow"], below + here["block"], at
     return edge
 
 
