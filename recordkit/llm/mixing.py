@@ -7,6 +7,7 @@ rates. Posteriors lie on a grid of fixed size; tokens are summed per grid cell o
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -131,7 +132,7 @@ def rate(steps: list[list[float]], most: float | None, ahead: bool = False) -> C
         new = new if most is None else F.least(new, F.lit(float(most)))
         return F.struct(new.alias("rate"), (new + e[k] * (new - now["rate"])).alias("ahead"))
 
-    listed = F.array(*[F.array(*[F.lit(float(x)) for x in e]) for e in steps])
+    listed = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")  # one constant, however many steps
     return F.aggregate(listed, F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), step)["ahead" if ahead else "rate"]
 
 
@@ -140,7 +141,8 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: dict[str, float], t
 
     Accelerated projected gradient on least squares over domains, each weighted by the inverse of its share of tokens:
     with that weight the gradient's largest eigenvalue is one, so a step of one descends. Ends when every total is
-    within ``close`` of the target (relative to the sum of targets), or after ``rounds`` steps.
+    within ``close`` of the target (relative to the sum of targets), when ten steps have gained under a hundredth, as with
+    targets out of reach, or after ``rounds`` steps.
     """
 
     def totals(steps: list[list[float]]) -> tuple[list[float], list[float]]:
@@ -157,8 +159,10 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: dict[str, float], t
     if total is None:  # all tokens; under a highest rate, what the scarcest domain allows
         total = every if most is None else min([most * n / w for n, w in zip(now, wanted) if w and n], default=every)
     steps: list[list[float]] = []
+    worst: list[float] = []
     for n in range(rounds):
-        if max(abs(x - total * w) for x, w in zip(now, wanted)) <= close * total:
+        worst.append(max(abs(x - total * w) for x, w in zip(now, wanted)) / total)
+        if worst[-1] <= close or (n >= 20 and min(worst[-10:]) > 0.99 * min(worst[:-10])):
             break
         steps.append([*[(x - total * w) / first if first else 0.0 for x, w, first in zip(ahead, wanted, before)], n / (n + 3)])
         now, ahead = totals(steps)
