@@ -31,7 +31,7 @@ def _rows(names: list[str], rows) -> Counter:
     return Counter(tuple(_value(r[i]) for i in order) for r in rows)
 
 
-SAME_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+SAME_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
