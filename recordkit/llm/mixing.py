@@ -197,8 +197,10 @@ def mix(
     told = labels.select(F.col(id_column).alias("id"), domain.alias("domain")).filter(F.col("domain").isin(domains) & F.col("id").isNotNull())
     told = stage(told.groupBy("id").agg(F.min("domain").alias("domain")), "domain-labels")
     model, measured = fit_classifier(given, told, domains)
-    placed = measured.select("id", "n_tokens", posterior(model).alias("units"))
-    cells = stage(placed.groupBy("units").agg(F.sum("n_tokens").alias("n_tokens")), "domain-cells")
+    # Written, so that no later filter takes the whole posterior into each step of a rate.
+    placed = stage(measured.select("id", "n_tokens", posterior(model).alias("units")), "domain-posteriors")
+    # At most one row per grid cell (5,151 for three domains), so one file holds them.
+    cells = stage(placed.groupBy("units").agg(F.sum("n_tokens").alias("n_tokens")).coalesce(1), "domain-cells")
     steps = fit_rates(cells, domains, weights, total, most, rounds, close)
     likeliest = F.array(*[F.lit(d) for d in domains])[F.array_position("units", F.array_max("units")).cast("int") - 1]
     shown = [(F.col("units")[k] / GRID).alias(f"p_{d}") for k, d in enumerate(domains)]
