@@ -42,7 +42,7 @@ def band_level(text: Column, bands: tuple[str, ...] = BANDS) -> Column:
 
 
 def growth(later: Column, earlier: Column) -> Column:
-    """Difference of two text scores; text that is no whole number gives NULL (see ``rejects``)."""
+    """Difference of two text scores; text that is no whole number gives NULL (see ``is_reject``)."""
     return later.try_cast("bigint") - earlier.try_cast("bigint")
 
 

@@ -7,9 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from recordkit.functions.rules import ratio
 
 # The letters that earn points, best first, and how many steps below the top of a
-# scale each lies; the scales by their top value; the value for a pair outside the table.
+# scale each lies; the value for a pair outside the table.
 LETTERS = ("A", "B", "C", "D")
-SCALE_TOPS = (7, 6, 5, 4)
 UNMAPPED_POINTS = 99
 DECIMAL = "decimal(18,4)"
 
@@ -47,12 +46,12 @@ def first_rule(rules: list[tuple[Column, object]], otherwise: Column) -> Column:
 
 def quality_points(credits: Column, points: Column) -> Column:
     """``credits * points`` rounded to three places."""
-    return F.round(credits.cast(DECIMAL) * points.cast(DECIMAL), 3)
+    return F.round(credits * points, 3)
 
 
 def credit_totals(courses: DataFrame, key: list[str], sums: list[str]) -> DataFrame:
-    """Sums per key as decimal(18,4); combined before the shuffle."""
-    return courses.groupBy(*key).agg(*[F.sum(F.col(c).cast(DECIMAL)).cast(DECIMAL).alias(c) for c in sums])
+    """Sums per key, added in the columns' own type and narrowed to decimal(18,4) afterwards; combined before the shuffle."""
+    return courses.groupBy(*key).agg(*[F.sum(c).cast(DECIMAL).alias(c) for c in sums])
 
 
 def gpa(points: Column, credits: Column) -> Column:

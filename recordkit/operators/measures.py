@@ -14,7 +14,7 @@ from recordkit.operators.keys import newest_place
 def attendance_rate(days: DataFrame, key: list[str], value: str) -> DataFrame:
     """Per key: sum and non-NULL count of a 0/1 value. Both are combined before the shuffle."""
     return days.groupBy(*key).agg(
-        F.sum(F.col(value).cast("decimal(18,4)")).cast("decimal(18,4)").alias("present"),
+        F.sum(value).cast("decimal(18,4)").alias("present"),
         F.count(value).alias("total"),
     )
 
@@ -44,14 +44,21 @@ class ScoreKind:
 
 
 def latest_scores(
-    administrations: DataFrame, tests: DataFrame, parts: DataFrame, scores: DataFrame, score_types: DataFrame, kinds: dict[str, ScoreKind]
+    administrations: DataFrame,
+    tests: DataFrame,
+    parts: DataFrame,
+    scores: DataFrame,
+    score_types: DataFrame,
+    kinds: dict[str, ScoreKind],
+    students: DataFrame | None = None,
 ) -> DataFrame:
     """One row per student with, per kind, the ``test``, ``score``, ``test_code`` and
     ``administration_date`` of the newest administration as a struct column (NULL without any).
 
     All kinds come from one pass over scores and administrations: the test titles are filtered
     before they meet the scores, and the newest row per student and kind is a minimum that is
-    combined before the only shuffle by student.
+    combined before the only shuffle by student. With ``students`` (column ``student_id``), only their administrations
+    meet the scores.
     """
     any_kind = reduce(lambda a, b: a | b, [k.titles for k in kinds.values()])
     wanted = (
@@ -61,6 +68,8 @@ def latest_scores(
     )
     types = score_types.select(F.col("id").alias("score_type_id"), F.col("short_name").alias("score_type"))
     taken = administrations.select(F.col("id").alias("administration_id"), "student_id", "test_id", "administration_date")
+    if students is not None:
+        taken = taken.join(students, "student_id", "left_semi")
     rows = (
         scores.select("administration_id", "part_id", "test_id", "score_type_id", "score", "test_code")
         .join(wanted, ["test_id", "part_id"])

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from recordkit.operators.joins import small_lookup
 
 OVERALL = "Overall Score"
-OVERALL_NUMBER = "00"
 
 
 def unpivot_scores(
@@ -17,15 +16,19 @@ def unpivot_scores(
 
     The overall column becomes question ``Overall Score`` with its value in ``score`` and is kept
     without a key row; the n-th question column becomes ``01``, ``02``, ... with its value in
-    ``answer`` and needs a key row (``key.question``, padded to two digits). One pass over the
-    sheet replaces one join per question, and NULL answers stay. The key is broadcast if it is small:
+    ``answer`` and needs a key row (``key.question``, a number with or without zeros before it). Numbers are as wide
+    as the last question's, two digits at least; a key row for a question that the sheet lacks matches nothing. One pass
+    over the sheet replaces one join per question, and NULL answers stay. The key is broadcast if it is small:
     a join by question would send all rows to as many tasks as there are questions.
     """
-    numbered = {overall: OVERALL_NUMBER, **{c: f"{i:02d}" for i, c in enumerate(questions, 1)}}
+    width = max(2, len(str(len(questions))))
+    numbered = {overall: "0" * width, **{c: f"{i:0{width}d}" for i, c in enumerate(questions, 1)}}
     sheet = wide.select(*ids, *[F.col(c).cast("string").alias(n) for c, n in numbered.items()])
     rows = sheet.unpivot(ids, list(numbered.values()), "_question", "_value")
-    answers = small_lookup(key.select(F.lpad(F.col("question").cast("string"), 2, "0").alias("_key_question"), *key_columns))
-    is_overall = F.col("_question") == OVERALL_NUMBER
+    number = F.regexp_replace(F.col("question").cast("string"), "^0+(?=.)", "")
+    padded = F.when(F.length(number) <= width, F.lpad(number, width, "0"))
+    answers = small_lookup(key.select(padded.alias("_key_question"), *key_columns))
+    is_overall = F.col("_question") == "0" * width
     joined = rows.join(answers, F.col("_question") == F.col("_key_question"), "left").filter(
         is_overall | F.col("_key_question").isNotNull()
     )

@@ -18,8 +18,6 @@ VOICE_CHANNEL = "Voice"
 INCOMING_CALLS = ("Answered", "Missed", "Voicemail Response")
 OUTGOING_CALL = "Outbound"
 
-MEAN_TYPE = "decimal(18,6)"
-
 
 @dataclass(frozen=True)
 class Week:
@@ -43,9 +41,9 @@ def calendar(days: DataFrame, day: str, week: Week) -> DataFrame:
 
 
 def mean_where(value: Column, condition: Column) -> Column:
-    """Mean over the rows where the condition holds. Added up as decimals, so the result does not
-    depend on the order in which tasks finish."""
-    wanted = F.when(condition, value.cast(MEAN_TYPE))
+    """Mean over the rows where the condition holds, of plain numbers of any size. Integers and decimals add up exactly;
+    the last digits of floating-point sums depend on the order, and the texts show two places."""
+    wanted = F.when(condition, value)
     return F.try_divide(F.sum(wanted).cast("double"), F.count(wanted).cast("double"))
 
 

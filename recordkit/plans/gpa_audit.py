@@ -87,12 +87,15 @@ def enrolled_groups(sis: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
 def student_gpas(sis: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
     """Totals and GPAs per student, school and grade.
 
-    Courses are summed per student before they meet the enrolments; a student enrolled n times in
+    Courses are summed per student before they meet the enrolments; with one school, only its students' courses are. A student enrolled n times in
     the same school and grade counts each course n times, which the sums are multiplied by.
     """
     sums = ["credits", "credits_earned", "unweighted", "adjusted", "current"]
-    totals = credit_totals(course_points(sis, run), ["student_id"], sums)
-    joined = enrolled_groups(sis, run).join(totals, "student_id")
+    enrolled, courses = enrolled_groups(sis, run), course_points(sis, run)
+    if run.school_id is not None:
+        enrolled = stage(enrolled, "school-enrolments")
+        courses = courses.join(enrolled.select("student_id"), "student_id", "left_semi")
+    joined = enrolled.join(credit_totals(courses, ["student_id"], sums), "student_id")
 
     def times(name: str) -> Column:
         return (F.col(name) * F.col("_times")).cast("decimal(18,4)")

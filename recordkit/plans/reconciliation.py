@@ -64,13 +64,14 @@ def last_enrollment(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> Dat
         )
         .select("student_id", "school_id", "grade_id", "drop_code", "start_date", "end_date")
     )
+    people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).join(file_ids(sis), "fleid", "left_semi")
+    rows = rows.join(people.select("student_id"), "student_id", "left_semi")
     school = sis["schools"].select(F.col("id").alias("school_id"), F.col("title").alias("school"), F.col("custom_327").alias("school_num"))
     grade = sis["school_gradelevels"].select(F.col("id").alias("grade_id"), F.col("title").alias("grade"))
     code = sis["student_enrollment_codes"].select(F.col("id").alias("drop_code"), F.col("title").alias("drop_title"))
     rows = rows.join(school, "school_id").join(grade, "grade_id").join(code, "drop_code", "left")
     shown = ["start_date", "drop_title", "grade", "school", "school_num"]
     rows = rows.select("student_id", "end_date", *shown)
-    people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).join(file_ids(sis), "fleid", "left_semi")
     return active_or_latest(rows, ["student_id"], "end_date", shown).join(people, "student_id")
 
 
@@ -86,6 +87,7 @@ def disability_codes(sis: Mapping[str, DataFrame], enrolled: DataFrame, options:
             uploaded_id(F.col("log_field6")).alias("_type_id"),
             F.coalesce("log_field4", F.lit("N")).alias("_role"),
         )
+        .join(enrolled.select("student_id"), "student_id", "left_semi")
         .groupBy("student_id", "_code_id", "_type_id", "_role")
         .agg(F.count(F.lit(1)).alias("_entries"))
     )
@@ -103,6 +105,7 @@ def prevention_programs(sis: Mapping[str, DataFrame], enrolled: DataFrame, optio
         sis["custom_field_log_entries"]
         .filter((F.col("field_id") == PREVENTION_LOG) & (F.col("log_field2") == "Y") & F.col("log_field5").isNull())
         .select(F.col("source_id").alias("student_id"), uploaded_id(F.col("log_field1")).alias("_program_id"), F.col("log_field4").try_cast("date").alias("_from"))
+        .join(enrolled.select("student_id"), "student_id", "left_semi")
         .distinct()
     )
     entries = decode_options(entries, options, {"dop_program": ("_program_id", "code")})
@@ -116,7 +119,8 @@ def change_dates(sis: Mapping[str, DataFrame], run: ReconciliationRun) -> DataFr
     the id (one person, one date, unless the id is used twice)."""
     people = sis["students"].select("student_id", F.col("custom_200000224").alias("fleid")).join(file_ids(sis), "fleid", "left_semi")
     editors = sis["users"].select(F.col("staff_id").alias("user_id"))
-    dates = last_change_dates(sis["database_object_log"], "student_id", LOG_PATTERNS, run.survey_end, editors)
+    entries = sis["database_object_log"].join(people.select("student_id"), "student_id", "left_semi")
+    dates = last_change_dates(entries, "student_id", LOG_PATTERNS, run.survey_end, editors)
     per_item = [F.collect_set(date_text(item)).alias(f"_{item}_dates") for item in LOG_PATTERNS]
     return dates.join(people, "student_id").groupBy("fleid").agg(*per_item)
 

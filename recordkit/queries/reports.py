@@ -11,7 +11,7 @@ from recordkit.plans.answer_sheet import answer_rows
 from recordkit.plans.gpa_audit import AuditRun, gpa_audit
 from recordkit.plans.reconciliation import LOG_PATTERNS, reconciliation
 from recordkit.plans.scale_update import scale_update
-from recordkit.plans.student_extract import student_extract
+from recordkit.plans.student_extract import ExtractRun, student_extract
 from recordkit.queries.registry import query
 from recordkit.queries.sis import model, model_sql
 
@@ -89,7 +89,7 @@ LEFT JOIN iready_math_upload_temp i ON i.student_id = spine.student_id::VARCHAR
 
 @query("student_extract", EXTRACT_SQL)
 def _student_extract(spark: SparkSession, folder: str) -> DataFrame:
-    return student_extract(model(spark, folder))
+    return student_extract(model(spark, folder), ExtractRun("Martin County Elementary School", (4300000000, 200420)))
 
 
 # ---------------------------------------------------------------- scale update
@@ -378,7 +378,7 @@ _TICKETS = f"WITH {model_sql('tickets')}, weeks AS (SELECT *, (date_trunc('week'
 
 
 def _mean(value: str, offset: int) -> str:
-    return f"""(sum({value}::DECIMAL(18,6)) FILTER (WHERE week_offset = {offset}))::DOUBLE / count({value}) FILTER (WHERE week_offset = {offset})"""
+    return f"""(sum({value}) FILTER (WHERE week_offset = {offset}))::DOUBLE / count({value}) FILTER (WHERE week_offset = {offset})"""
 
 
 def _change_sql(group: str) -> str:

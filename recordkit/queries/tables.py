@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MONEY = "decimal(18,2)"
 
-_schemas: dict[str, T.StructType] = {}
-
 
 def read_given(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table. The schema of a path is looked up once, because asking for it runs a job."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
@@ -22,11 +16,14 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_given(self.spark, self.folder, name)
+        if name not in self._read:  # asking for a schema runs a job
+            self._read[name] = read_given(self.spark, self.folder, name)
+        return self._read[name]
 
     def order_spans(self) -> DataFrame:
         """Orders as records with a start date and an end date that is NULL while open."""

@@ -63,14 +63,44 @@ def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Drop the catalog table if it exists and create it from ``df``."""
+def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Create the catalog table ``name`` from ``df``, in place of one that exists.
+
+    The new table is written to a folder of its own below the shared folder, beside the old one, so ``df`` may read the old one and a write that fails leaves it as it
+    was. Then the names are switched, and the old table is dropped last. Partition columns are those given, else those
+    of the old table.
+    """
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.mode("overwrite").saveAsTable(name)
+    exists, mark = spark.catalog.tableExists(name), uuid.uuid4().hex
+    if partition_by is None:
+        partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition] if exists else []
+    new, old = f"{name}_new_{mark}", f"{name}_old_{mark}"
+    try:
+        df.write.partitionBy(*partition_by).option("path", new_folder(spark, "table")).saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    if exists:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    except Exception:
+        if exists:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(name)
 
 
+def publish(versions: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Put new versions of catalog tables under their names; none is switched if one has lost or gained rows."""
+    for name, version in versions.items():
+        before, after = version.sparkSession.table(name).count(), version.count()
+        if before != after:
+            raise ValueError(f"{name}: {before} rows became {after}")
+    return {name: replace_table(version, name) for name, version in versions.items()}
+
+
 def write_version(new: DataFrame, old: DataFrame, folder: str, label: str) -> DataFrame:
     """Write a new version of a table beside the old one and check that no row was lost or added.
 

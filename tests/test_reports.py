@@ -9,7 +9,7 @@ from recordkit.plans.answer_sheet import answer_rows
 from recordkit.plans.gpa_audit import AuditRun, gpa_audit
 from recordkit.plans.reconciliation import ReconciliationRun, reconciliation
 from recordkit.plans.scale_update import scale_update
-from recordkit.plans.student_extract import student_extract
+from recordkit.plans.student_extract import ExtractRun, student_extract
 
 
 
@@ -24,6 +24,8 @@ def interpreted(spark):
     for k, v in before.items():
         spark.conf.set(k, v)
 
+RUN = ExtractRun("Martin County Elementary School", (4300000000, 200420))
+
 
 BASE = 4300200420
 SCHOOLS = [dict(id=1, title="North", custom_327="0051"), dict(id=2, title="South", custom_327="0101"), dict(id=3, title="Other", custom_327="0999")]
@@ -116,7 +118,8 @@ def extract(spark):
                     dict(student_id="0" + str(BASE + 15), ia1_p1="1", ia4_p1="2"),  # other text, no match
                 ],
                 iready_math_upload_temp=[dict(student_id=str(BASE + 2), fall_ss="400", spring_ss="400", spring_pr="50", spring_rp="Level 2")],
-            )
+            ),
+            RUN
         ),
         "Student ID",
     )
@@ -164,7 +167,7 @@ def test_a_student_uploaded_twice_has_two_rows(spark):
         student_enrollment=[enrolled(2)],
         benchmark_ia1_to_ia4_temp=[dict(student_id=str(BASE + 2), ia1_p1=a, ia4_p1="9") for a in ("1", "2")],
     )
-    out = student_extract(tables)
+    out = student_extract(tables, RUN)
     assert len(out.columns) == 34 and sorted(r["Benchmark IA1 Score"] for r in out.collect()) == ["1", "2"]
 
 

@@ -3,7 +3,7 @@ from helpers import bag, rows
 from pyspark.sql import functions as F
 
 from recordkit.sources.params import optional_equals, value_or_all
-from recordkit.sources.tables import new_folder, read_table, read_upload, repeated_keys, replace_table, shared_folder, stage, write_version
+from recordkit.sources.tables import new_folder, publish, read_table, read_upload, repeated_keys, replace_table, shared_folder, stage, write_version
 
 
 def test_uploads_are_text(spark, tmp_path):
@@ -60,6 +60,32 @@ def test_replace_table(spark):
     spark.sql("DROP TABLE recordkit_replaced")
 
 
+def test_replace_table_from_itself_and_after_a_failure(spark):
+    name = "recordkit_itself"
+    replace_table(spark.range(4).withColumn("part", F.col("id") % 2), name, ["part"])
+    replace_table(spark.table(name).filter("id > 1"), name)
+    assert sorted(rows(spark.table(name))) == [(2, 0), (3, 1)]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["part"]
+    with pytest.raises(Exception, match="no such value"):
+        replace_table(spark.table(name).withColumn("id", F.raise_error(F.lit("no such value")).cast("long")), name)
+    assert spark.table(name).count() == 2
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}_")] == []
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_publish(spark):
+    first, second = "recordkit_first", "recordkit_second"
+    for name in (first, second):
+        replace_table(spark.range(3), name)
+    with pytest.raises(ValueError, match="recordkit_second: 3 rows became 2"):
+        publish({first: spark.range(3, 6), second: spark.range(2)})
+    assert sorted(rows(spark.table(first))) == [(0,), (1,), (2,)]
+    publish({first: spark.table(first).withColumn("id", F.col("id") * 2)})
+    assert sorted(rows(spark.table(first))) == [(0,), (2,), (4,)]
+    for name in (first, second):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_repeated_keys(spark):
     frame = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert rows(repeated_keys(frame, "k")) == [(1, 2)]

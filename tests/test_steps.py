@@ -5,7 +5,7 @@ import pytest
 from helpers import bag, by_key, day, rows
 from pyspark.sql import functions as F
 
-from recordkit.operators.grades import enrolled_at_period_end, gpa, quality_points, scale_points
+from recordkit.operators.grades import credit_totals, enrolled_at_period_end, gpa, quality_points, scale_points
 from recordkit.operators.joins import left_fan, left_join_where, small_lookup, with_placeholders
 from recordkit.operators.lookup import decode_options, one_option_per_id
 from recordkit.operators.measures import attendance_rate, distinct_events, rate_columns
@@ -79,6 +79,30 @@ def test_placeholders_keep_every_key(spark):
     assert sorted(rows(keys.join(out, "k")), key=str) == sorted(rows(keys.join(side, "k", "left")), key=str)
 
 
+def test_unpivot_of_more_than_99_questions(spark):
+    columns = [f"_{i}" for i in range(1, 121)]
+    sheet = spark.createDataFrame([("s1", "9", *map(str, range(1, 121)))], "student string, total string, " + ", ".join(f"{c} string" for c in columns))
+    key = spark.createDataFrame([(q, f"k{int(q)}") for q in ("000", "0", "1", "09", "10", "100", "101", "0120", "121", "1000")], "question string, standard string")
+    out = unpivot_scores(sheet, ["student"], "total", columns, key, ["standard"]).select("question", "score", "answer", "standard")
+    overall = [("Overall Score", "9", None, "k0")] * 2
+    assert bag(out) == bag(spark.createDataFrame(overall + [(f"{n:03d}", None, str(n), f"k{n}") for n in (1, 9, 10, 100, 101, 120)], out.schema))
+
+
+def test_sums_before_narrowing(spark):
+    frame = spark.createDataFrame([("a", "0.33333")] * 2 + [("a", "0.00003")], "k string, text string").withColumn("v", F.col("text").cast("decimal(12,5)"))
+    assert str(credit_totals(frame, ["k"], ["v"]).first()["v"]) == "0.6667"
+    assert str(attendance_rate(frame, ["k"], "v").first()["present"]) == "0.6667"
+
+
+def test_means_of_small_and_large_numbers(spark):
+    day = dt.date(2024, 1, 31)
+    week = Week(day)
+    for last, prior, told in ((4e-7, 1e-7, "declined"), (1e12, 4e12, "improved"), (1e300, 2e300, "improved")):
+        frame = spark.createDataFrame([(day - dt.timedelta(7), last), (day - dt.timedelta(14), prior)], "day date, v double")
+        message = week_over_week(frame, "day", "v", week).first()["message"]
+        assert told in message and ("300%" in message or "75%" in message or "50%" in message)
+
+
 def test_unpivot_scores(spark):
     sheet = spark.createDataFrame([("s1", "80", "1", None), ("s2", None, "0", "1")], "student string, total string, _1 string, _2 string")
     key = spark.createDataFrame([("1", "A"), ("1", "B")], "question string, standard string")  # two rows for 01, none for 00 and 02
