@@ -32,6 +32,44 @@ class Week:
     def holds(self, day: Column, first: int, last: int) -> Column:
         return in_weeks(day, self.as_of, first, last, self.starts_on)
 
+    def attach(self, fact: DataFrame, day: str, span: tuple[int, int] | None = None) -> DataFrame:
+        """The fact with ``_offset``, the week of each row; with ``span`` only rows of these weeks, read by a range of days."""
+        rows = fact.filter(self.holds(F.col(day), *span)) if span else fact
+        return rows.withColumn("_offset", self.offset(F.col(day)))
+
+
+@dataclass(frozen=True)
+class GivenWeeks:
+    """Weeks of a calendar table with one row per day: its ``date`` and its ``week_offset`` (-1 = last week)."""
+
+    calendar: DataFrame
+    date: str = "date"
+    offset: str = "week_offset"
+
+    def attach(self, fact: DataFrame, day: str, span: tuple[int, int] | None = None) -> DataFrame:
+        """As ``Week.attach``. Days that the calendar lacks have no week; the wanted weeks' first and last day become
+        a range on the fact's own column, so a calendar prunes what is read as well."""
+        days = self.calendar.select(F.col(self.date).cast("date").alias("_date"), F.col(self.offset).alias("_offset"))
+        if span:
+            days = days.filter(F.col("_offset").between(*span))
+            edge = days.agg(F.min("_date").alias("first"), F.date_add(F.max("_date"), 1).alias("end")).first()
+            fact = fact.filter((F.col(day) >= F.lit(edge["first"]).cast("date")) & (F.col(day) < F.lit(edge["end"]).cast("date")))
+        return fact.join(days, F.col(day).cast("date") == F.col("_date"), "inner" if span else "left").drop("_date")
+
+
+Weeks = Week | GivenWeeks
+
+
+def related(fact: DataFrame, sides: dict[str, DataFrame]) -> DataFrame:
+    """The fact with the columns of its related tables, each joined on the key it is named by.
+
+    Related tables have one row per key. A fact row without a related one keeps NULL; a related row that no fact row
+    names (a call without a ticket) belongs to no group of the fact and counts nowhere.
+    """
+    for key, side in sides.items():
+        fact = fact.join(side, key, "left")
+    return fact
+
 
 def calendar(days: DataFrame, day: str, week: Week) -> DataFrame:
     """The different days of a fact with their week offset: one row per day."""
@@ -52,14 +90,14 @@ def count_where(value: Column, condition: Column) -> Column:
     return F.count(F.when(condition, value))
 
 
-def week_over_week(fact: DataFrame, day: str, value: str, week: Week, by: list[str] | None = None, strict_blank: bool = False) -> DataFrame:
+def week_over_week(fact: DataFrame, day: str, value: str, week: Weeks, by: list[str] | None = None, strict_blank: bool = False) -> DataFrame:
     """Sentence comparing the means of the last two weeks; one row, or one per ``by`` group.
 
     Without groups only the two weeks are read. With groups all rows are, because a group without
     tickets in these weeks has its sentence too.
     """
-    offset = week.offset(F.col(day))
-    rows = fact if by else fact.filter(week.holds(F.col(day), -2, -1))
+    offset = F.col("_offset")
+    rows = week.attach(fact, day, None if by else (-2, -1))
     means = rows.groupBy(*(by or [])).agg(
         mean_where(F.col(value), offset == -1).alias("last_week"),
         mean_where(F.col(value), offset == -2).alias("prior_week"),
@@ -69,7 +107,7 @@ def week_over_week(fact: DataFrame, day: str, value: str, week: Week, by: list[s
 
 
 def mean_duration(
-    fact: DataFrame, day: str, seconds: str, ticket: str, week: Week, counted: DataFrame | None = None, by: list[str] | None = None, exact: bool = False
+    fact: DataFrame, day: str, seconds: str, ticket: str, week: Weeks, counted: DataFrame | None = None, by: list[str] | None = None, exact: bool = False
 ) -> DataFrame:
     """Mean duration of last week as text. The ticket number is 0 if ``fact`` has none last week,
     else the one of ``counted`` (by default the same table). Without groups only last week is read."""
@@ -80,9 +118,8 @@ def mean_duration(
         rows = rows.unionByName(
             counted.select(*groups, F.col(day).alias("_day"), none.alias("_seconds"), none.alias("_own"), F.col(ticket).alias("_other"), none.alias("_fact"))
         )
-    last_week = week.holds(F.col("_day"), -1, -1)
-    if not groups:
-        rows = rows.filter(last_week)
+    rows = week.attach(rows, "_day", None if groups else (-1, -1))
+    last_week = F.col("_offset") == -1
     means = rows.groupBy(*groups).agg(
         mean_where(F.col("_seconds"), last_week).alias("_mean"),
         count_where(F.col("_own"), last_week).alias("_own"),
@@ -97,10 +134,10 @@ def mean_duration(
 
 
 def channel_counts(
-    fact: DataFrame, first_id: str, second_id: str, day: str, week: Week, app_value: str, value: str, channel: str, call_type: str
+    fact: DataFrame, first_id: str, second_id: str, day: str, week: Weeks, app_value: str, value: str, channel: str, call_type: str
 ) -> DataFrame:
     """Tickets of last week per channel for every pair of ids, zeros included."""
-    last_week = week.holds(F.col(day), -1, -1)
+    last_week = F.col("_offset") == -1
     name, call = F.col(channel), F.col(call_type)
     voice = last_week & (name == VOICE_CHANNEL)
     counts = {
@@ -110,7 +147,7 @@ def channel_counts(
         "Incoming Calls": count_where(F.col(value), voice & call.isin(*INCOMING_CALLS)),
         "Outgoing Calls": count_where(F.col(value), voice & (call == OUTGOING_CALL)),
     }
-    grouped = fact.groupBy(first_id, second_id).agg(*[c.alias(n) for n, c in counts.items()])
+    grouped = week.attach(fact, day).groupBy(first_id, second_id).agg(*[c.alias(n) for n, c in counts.items()])
     total = sum((F.col(f"`{n}`") for n in counts), F.lit(0).cast("bigint"))
     second = F.col(second_id).cast("string")
     return grouped.select(

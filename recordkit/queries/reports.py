@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordkit.operators.tickets import Week, channel_counts, mean_duration, week_over_week
+from recordkit.operators.tickets import GivenWeeks, Week, channel_counts, mean_duration, related, week_over_week
 from recordkit.plans.answer_sheet import answer_rows
 from recordkit.plans.gpa_audit import AuditRun, gpa_audit
 from recordkit.plans.reconciliation import LOG_PATTERNS, reconciliation
@@ -377,13 +377,21 @@ def _reconciliation(spark: SparkSession, folder: str) -> DataFrame:
 _TICKETS = f"WITH {model_sql('tickets')}, weeks AS (SELECT *, (date_trunc('week', day)::DATE - DATE '2024-01-29') // 7 AS week_offset FROM tickets)"
 
 
+# The same facts in related tables, with a calendar whose weeks begin on Wednesdays and that lacks every eleventh day.
+_RELATED = f"""WITH {model_sql('tickets')}, kinds AS (SELECT ticket_idx, channel FROM tickets),
+    calls AS (SELECT ticket_idx, call_type FROM tickets WHERE channel = 'Voice' UNION ALL SELECT -1, 'Answered'),
+    days AS (SELECT DISTINCT day, CAST(floor((day - DATE '2024-01-31') / 7.0) AS INT) AS week_offset FROM tickets WHERE dayofmonth(day) % 11 <> 0),
+    weeks AS (SELECT t.* EXCLUDE (channel, call_type), kinds.channel, calls.call_type, days.week_offset
+        FROM tickets t LEFT JOIN kinds USING (ticket_idx) LEFT JOIN calls USING (ticket_idx) LEFT JOIN days USING (day))"""
+
+
 def _mean(value: str, offset: int) -> str:
     return f"""(sum({value}) FILTER (WHERE week_offset = {offset}))::DOUBLE / count({value}) FILTER (WHERE week_offset = {offset})"""
 
 
-def _change_sql(group: str) -> str:
+def _change_sql(group: str, tables: str = _TICKETS) -> str:
     shown = f"{group}, " if group else ""
-    return f"""{_TICKETS}, means AS (SELECT {shown}coalesce({_mean("resolution", -1)}, 0) AS p, coalesce({_mean("resolution", -2)}, 0) AS q
+    return f"""{tables}, means AS (SELECT {shown}coalesce({_mean("resolution", -1)}, 0) AS p, coalesce({_mean("resolution", -2)}, 0) AS q
         FROM weeks {"GROUP BY " + group if group else ""}),
     worded AS (SELECT *, CASE WHEN p > q THEN 'declined' ELSE 'improved' END AS word,
         CASE WHEN q <> 0 THEN regexp_replace(printf('%.2f', round(abs((p - q) / abs(q) * 100), 2)), '\\.?0+$', '') END AS pct FROM means)
@@ -403,9 +411,9 @@ def _efficiency_change_by_customer(spark: SparkSession, folder: str) -> DataFram
     return week_over_week(model(spark, folder)["tickets"], "day", "resolution", REPORT_WEEK, by=["id1"])
 
 
-def _duration_sql(group: str) -> str:
+def _duration_sql(group: str, tables: str = _TICKETS) -> str:
     shown = f"{group}, " if group else ""
-    return f"""{_TICKETS}, means AS (SELECT {shown}{_mean("seconds", -1)} AS m, count(ticket_idx) FILTER (WHERE week_offset = -1) AS own,
+    return f"""{tables}, means AS (SELECT {shown}{_mean("seconds", -1)} AS m, count(ticket_idx) FILTER (WHERE week_offset = -1) AS own,
         count(app_value) FILTER (WHERE week_offset = -1) AS other FROM weeks {"GROUP BY " + group if group else ""}),
     parts AS (SELECT *, m / 3600 AS h, trunc(h) AS hh, (h - hh) * 60 AS mi, trunc(mi) AS mm, round((mi - mm) * 60)::BIGINT AS ss,
         trunc(hh / 24) AS dd, round((hh / 24 - dd) * 24)::BIGINT AS hd FROM means)
@@ -430,16 +438,45 @@ def _resolution_time_by_customer(spark: SparkSession, folder: str) -> DataFrame:
     return _durations(spark, folder, ["id1"])
 
 
-@query(
-    "ticket_channels",
-    f"""{_TICKETS}, counted AS (SELECT id1, id2,
+def _channels_sql(tables: str) -> str:
+    return f"""{tables}, counted AS (SELECT id1, id2,
         count(app_value) FILTER (WHERE week_offset = -1 AND channel IN ('Online', 'Application')) AS "App",
         count(value) FILTER (WHERE week_offset = -1 AND channel = 'Text') AS "Text Message",
         count(value) FILTER (WHERE week_offset = -1 AND channel = 'Electronic Mail') AS "Email",
         count(value) FILTER (WHERE week_offset = -1 AND channel = 'Voice' AND call_type NOT IN ('Outbound', 'Abandoned')) AS "Incoming Calls",
         count(value) FILTER (WHERE week_offset = -1 AND channel = 'Voice' AND call_type = 'Outbound') AS "Outgoing Calls"
         FROM weeks GROUP BY ALL)
-    SELECT *, "App" + "Text Message" + "Email" + "Incoming Calls" + "Outgoing Calls" AS "All", repeat(id2, 2) AS "Connector" FROM counted""",
-)
+    SELECT *, "App" + "Text Message" + "Email" + "Incoming Calls" + "Outgoing Calls" AS "All", repeat(id2, 2) AS "Connector" FROM counted"""
+
+
+@query("ticket_channels", _channels_sql(_TICKETS))
 def _ticket_channels(spark: SparkSession, folder: str) -> DataFrame:
     return channel_counts(model(spark, folder)["tickets"], "id1", "id2", "day", REPORT_WEEK, "app_value", "value", "channel", "call_type")
+
+
+def _related(spark: SparkSession, folder: str) -> tuple[DataFrame, GivenWeeks]:
+    tickets = model(spark, folder)["tickets"]
+    voice = tickets.filter("channel = 'Voice'").select("ticket_idx", "call_type")
+    calls = voice.union(spark.sql("SELECT CAST(-1 AS BIGINT) AS ticket_idx, 'Answered' AS call_type"))
+    days = tickets.select("day").distinct().filter(F.dayofmonth("day") % 11 != 0)
+    offset = F.floor(F.datediff("day", F.lit(dt.date(2024, 1, 31))) / 7).cast("int")
+    facts = related(tickets.drop("channel", "call_type"), {"ticket_idx": tickets.select("ticket_idx", "channel")})
+    return related(facts, {"ticket_idx": calls}), GivenWeeks(days.select(F.col("day").alias("date"), offset.alias("week_offset")))
+
+
+@query("efficiency_change_related", _change_sql("", _RELATED))
+def _efficiency_change_related(spark: SparkSession, folder: str) -> DataFrame:
+    facts, weeks = _related(spark, folder)
+    return week_over_week(facts, "day", "resolution", weeks)
+
+
+@query("resolution_time_related", _duration_sql("id1", _RELATED))
+def _resolution_time_related(spark: SparkSession, folder: str) -> DataFrame:
+    facts, weeks = _related(spark, folder)
+    return mean_duration(facts, "day", "seconds", "ticket_idx", weeks, facts.select("id1", "day", F.col("app_value").alias("ticket_idx")), ["id1"])
+
+
+@query("ticket_channels_related", _channels_sql(_RELATED))
+def _ticket_channels_related(spark: SparkSession, folder: str) -> DataFrame:
+    facts, weeks = _related(spark, folder)
+    return channel_counts(facts, "id1", "id2", "day", weeks, "app_value", "value", "channel", "call_type")
