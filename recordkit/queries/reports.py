@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordkit.operators.tickets import GivenWeeks, Week, channel_counts, mean_duration, related, week_over_week
+from recordkit.operators.uploads import rejects
 from recordkit.plans.answer_sheet import answer_rows
 from recordkit.plans.gpa_audit import AuditRun, gpa_audit
 from recordkit.plans.reconciliation import LOG_PATTERNS, reconciliation
@@ -480,3 +481,25 @@ def _resolution_time_related(spark: SparkSession, folder: str) -> DataFrame:
 def _ticket_channels_related(spark: SparkSession, folder: str) -> DataFrame:
     facts, weeks = _related(spark, folder)
     return channel_counts(facts, "id1", "id2", "day", weeks, "app_value", "value", "channel", "call_type")
+
+
+# ---------------------------------------------------------------- rejected upload values
+
+_UPLOADS = {"benchmark_ia1_to_ia4_temp": ["ia1_p1", "ia4_p1"], "iready_math_upload_temp": ["fall_ss", "spring_ss"]}
+
+
+def _rejects_sql() -> str:
+    values = [
+        f"SELECT '{name}' AS upload, '{column}' AS \"column\", {column}::VARCHAR AS value FROM {name}"
+        for name, numbers in _UPLOADS.items()
+        for column in ["student_id", *numbers]
+    ]
+    return f"""WITH {model_sql(*_UPLOADS)}, shown AS ({" UNION ALL ".join(values)})
+        SELECT upload, "column", value, count(*) AS rows FROM shown
+        WHERE value IS NOT NULL AND NOT regexp_full_match(value, '-?[0-9]+') GROUP BY ALL"""
+
+
+@query("upload_rejects", _rejects_sql())
+def _upload_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    sis = model(spark, folder)
+    return rejects({name: (sis[name], ["student_id"], numbers) for name, numbers in _UPLOADS.items()})

@@ -12,6 +12,7 @@ from recordkit.operators.measures import attendance_rate, distinct_events, rate_
 from recordkit.operators.reshape import unpivot_scores
 from recordkit.operators.tickets import Week, channel_counts, mean_duration, week_over_week
 from recordkit.operators.updates import keyed_update
+from recordkit.operators.uploads import rejected_values
 from recordkit.operators.windows import AssessmentWindow, course_member, school_member
 
 
@@ -192,3 +193,9 @@ def test_channel_counts(spark):
 @pytest.mark.parametrize("limit", [1])
 def test_small_lookup_reads_only_past_its_limit(spark, limit):
     assert small_lookup(spark.range(3), limit).count() == 3
+
+
+def test_rejected_values(spark):
+    upload = spark.createDataFrame([("1", "5"), ("01", "5.5"), (" 2", ""), (None, None), ("x", "absent"), ("x", "-7")], "student_id string, score string")
+    got = sorted(rows(rejected_values(upload, "u", ["student_id"], ["score"])))
+    assert got == [("u", "score", "", 1), ("u", "score", "5.5", 1), ("u", "score", "absent", 1), ("u", "student_id", " 2", 1), ("u", "student_id", "01", 1), ("u", "student_id", "x", 2)]
