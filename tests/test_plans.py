@@ -8,12 +8,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from recordkit.operators.changes import last_change_dates
 from recordkit.operators.joins import left_fan
 from recordkit.operators.measures import attendance_rate
 from recordkit.operators.tickets import Week, week_over_week
 from recordkit.operators.updates import keyed_update
+from recordkit.plans.answer_sheet import answer_rows
+from recordkit.plans.student_extract import ExtractRun, student_extract
+from recordkit.queries import reports, steps  # noqa: F401  (register their queries)
+from recordkit.queries.registry import QUERIES
+from recordkit.queries.sis import model
 from recordkit.queries.tables import Tables
 
 GIVEN = "/root/testdata/sf0.001"
@@ -30,9 +34,9 @@ def finished(df) -> str:
     return planned(df).split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_pairwise_joins(spark, name):
-    plan = planned(entry_points.queries()[name](spark, GIVEN))
+    plan = planned(QUERIES[name](spark, GIVEN))
     assert not [u for u in UNWANTED if u in plan]
 
 
@@ -94,3 +98,21 @@ def test_a_hot_join_key_is_split(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_extract_keeps_rows_of_its_students_first(spark, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        sis = model(spark, GIVEN)
+        run = ExtractRun("label", (1, 2))
+        logical = student_extract(sis, run)._jdf.queryExecution().optimizedPlan().toString()
+        assert logical.count("LeftSemi") >= 3  # days, referrals, administrations
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_answer_sheet_is_ordered_by_student(spark):
+    students = [r["student_id"] for r in answer_rows(model(spark, GIVEN)).select("student_id").collect()]
+    assert students == sorted(students) and len(set(students)) > 1
