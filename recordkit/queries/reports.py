@@ -10,7 +10,7 @@ from recordkit.operators.tickets import GivenWeeks, Week, channel_counts, mean_d
 from recordkit.operators.uploads import rejects
 from recordkit.plans.answer_sheet import answer_rows
 from recordkit.plans.gpa_audit import AuditRun, gpa_audit
-from recordkit.plans.reconciliation import LOG_PATTERNS, reconciliation
+from recordkit.plans.reconciliation import ReconciliationRun, reconciliation
 from recordkit.plans.scale_update import scale_update
 from recordkit.plans.student_extract import ExtractRun, student_extract
 from recordkit.queries.registry import query
@@ -160,6 +160,27 @@ def _unmapped(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("grade_scale", "grade_title").agg(F.count(F.lit(1)).alias("courses"))
 
 
+@query(
+    "scale_update_staged_points",
+    COURSES_SQL
+    + """SELECT student_id, syear, school_id, marking_period_id, report_card_grade_id, course_title, course_num, credits::DOUBLE AS credits,
+        credits_earned::DOUBLE AS credits_earned, grade_title, grade_scale, weighted_gpa_points::DOUBLE AS weighted_gpa_points,
+        points AS updated_weighted_gpa_points, custom_7 AS grade FROM pointed""",
+)
+def _staged_points(spark: SparkSession, folder: str) -> DataFrame:
+    return scale_update(model(spark, folder)).course_history_weighted_gpa_points_update
+
+
+@query(
+    "scale_update_grade_conflicts",
+    COURSES_SQL
+    + """SELECT student_id, syear, course_num, course_title, marking_period_id, report_card_grade_id, custom_7 AS grade,
+        points AS updated_weighted_gpa_points, choices FROM chosen WHERE choices > 1""",
+)
+def _grade_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    return scale_update(model(spark, folder)).grade_conflicts
+
+
 @query("scale_update_conflicts", COURSES_SQL + "SELECT grade_scale_id, target AS seven_scale_value, choices FROM titles WHERE choices > 1")
 def _conflicts(spark: SparkSession, folder: str) -> DataFrame:
     return scale_update(model(spark, folder)).scale_conflicts
@@ -291,9 +312,14 @@ def _differs(name: str, left: str, right: str) -> str:
 
 _PLAIN_FILE = "record_id, district_of_enrollment, student_last_name, student_first_name, du.fleid, date_of_birth, sex, race, full_year_school, full_year_district, ext_med"
 _DATED = ["zoned_district", "zoned_school", "grade_level", "primary_ese_code", "other_ese_code", "ell_code"]
+# Fixed values, written here again so that the plan's own are checked.
+_LOGGED = {
+    "zoned_district": "%CUSTOM_821%", "zoned_school": "%CUSTOM_822%", "grade_level": "%GRADE_ID%",
+    "primary_ese_code": "%LOG_FIELD4%", "other_ese_code": "%LOG_FIELD6%", "ell_code": "%CUSTOM_626%",
+}
 _CHANGES = " UNION ALL ".join(
     f"SELECT fleid, '{item}' AS item, strftime(max(log_time), '%Y%m%d') AS day FROM updates WHERE after LIKE '{pattern}' GROUP BY student_id, fleid"
-    for item, pattern in LOG_PATTERNS.items()
+    for item, pattern in _LOGGED.items()
 )
 _MET = "CASE WHEN se.grade NOT IN ('10', '11', '12') THEN 'Z' WHEN req IN ('Y', 'YC', 'YW') THEN 'Y' ELSE 'N' END"
 
@@ -373,6 +399,12 @@ def _reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     return reconciliation(model(spark, folder))
 
 
+# The date of an other-code change without the primary code's having changed.
+@query("reconciliation_corrected", RECONCILIATION_SQL.replace("    AND compared.primary_ese_code_change = 'Y'\n", ""))
+def _reconciliation_corrected(spark: SparkSession, folder: str) -> DataFrame:
+    return reconciliation(model(spark, folder), ReconciliationRun(faithful=False))
+
+
 # ---------------------------------------------------------------- tickets
 
 _TICKETS = f"WITH {model_sql('tickets')}, weeks AS (SELECT *, (date_trunc('week', day)::DATE - DATE '2024-01-29') // 7 AS week_offset FROM tickets)"
