@@ -77,7 +77,8 @@ def row_numbers() -> Iterator[int]:
 
 def rows_named(docs: DataFrame, names: DataFrame, keys: dict[str, Column], how: str = "left_semi") -> DataFrame:
     """Rows of ``docs`` whose ``keys`` (column of ``names`` -> expression on ``docs``) are among ``names``; nulls match."""
-    renamed = names.select(*[F.col(k).alias(f"__named_{i}") for i, k in enumerate(keys)])
+    # By key at every size: a plan that turns from broadcast to shuffle somewhere would not grow with its input.
+    renamed = names.select(*[F.col(k).alias(f"__named_{i}") for i, k in enumerate(keys)]).hint("merge")
     condition = None
     for i, expression in enumerate(keys.values()):
         one = expression.eqNullSafe(renamed[f"__named_{i}"])
