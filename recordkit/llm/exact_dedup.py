@@ -74,6 +74,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             .select("doc_id", "row", "text_sha256", F.coalesce("verified", "recipe").alias("recipe"))
         )
     groups = texts.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("last"))
+    groups = stage(groups, "recipe-groups")  # a join with stored groups can be split where a group is large
     return texts.join(groups, "recipe").select(
         "doc_id",
         F.col("last.doc_id").alias("keep_id"),
