@@ -18,7 +18,8 @@ from recordkit.llm.simhash import simhash_groups
 from recordkit.llm.toxicity import fit, score
 from recordkit.sources.tables import stage
 
-# Shares of the tokens that remain, with no document taken more than once.
+# Shares of the tokens that remain, with no document taken more than once. Good text stays whole; where other text is
+# scarce, its share is less.
 WEIGHTS = {"good": 0.97, "poor": 0.03, "toxic": 0.0}
 
 
@@ -52,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at their fitted rate, by a hash of their id; none is taken twice."""
-    rated = mix(docs, table(spark, sf_dir, "labels"), domain_of_labels(), WEIGHTS, most=1.0)
+    rated = mix(docs, table(spark, sf_dir, "labels"), domain_of_labels(), WEIGHTS, most=1.0, whole="good")
     place = F.xxhash64(F.lit("mix"), F.col("doc_id").cast("string")).cast("double") / 2.0**64 + 0.5
     kept = stage(rated.filter(place < F.col("rate")).select("doc_id"), "drawn-ids")
     return by_id(docs, kept, "left_semi")

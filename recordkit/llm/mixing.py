@@ -136,7 +136,7 @@ def rate(steps: list[list[float]], most: float | None, ahead: bool = False) -> C
     return F.aggregate(listed, F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), step)["ahead" if ahead else "rate"]
 
 
-def fit_rates(cells: DataFrame, domains: list[str], weights: dict[str, float], total: float | None, most: float | None, rounds: int, close: float) -> list[list[float]]:
+def fit_rates(cells: DataFrame, domains: list[str], weights: dict[str, float], total: float | None, most: float | None, rounds: int, close: float, whole: str | None = None) -> list[list[float]]:
     """Steps for ``rate``. ``cells``: ``units`` and ``n_tokens``, at most one row per grid cell.
 
     Accelerated projected gradient on least squares over domains, each weighted by the inverse of its share of tokens:
@@ -156,6 +156,8 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: dict[str, float], t
         return []
     share = sum(weights[d] for d in domains)
     wanted = [weights[d] / share for d in domains]
+    if total is None and whole is not None:  # what leaves this domain at rate one
+        total = next((n / w for d, n, w in zip(domains, now, wanted) if d == whole and w and n), None)
     if total is None:  # all tokens; under a highest rate, what the scarcest domain allows
         total = every if most is None else min([most * n / w for n, w in zip(now, wanted) if w and n], default=every)
     steps: list[list[float]] = []
@@ -180,13 +182,15 @@ def mix(
     most: float | None = None,
     rounds: int = 60,
     close: float = 1e-3,
+    whole: str | None = None,
 ) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``domain`` (likeliest), ``p_<domain>`` and ``rate`` (0 or more) for every row.
 
     ``domain`` is an expression on ``labels`` that names one of the domains of ``weights``, or null for no label; an id
     labelled twice takes the smallest name. Rates start at one and go no further than the targets need, so that the sum
     of rate times tokens times posterior over all rows comes to ``total`` times the domain's weight (``total`` None: as many tokens
-    as now, or with a highest rate ``most``, as many as the scarcest domain allows). A domain nobody is likely to be in
+    as now, or with a highest rate ``most``, as many as the scarcest domain allows; with ``whole``, as many as leave that domain
+    as it is, so that a scarce one falls short of its weight instead of taking others with it). A domain nobody is likely to be in
     stays short. Tokens are words between ASCII white space.
 
     Null and empty texts have no tokens, and a posterior and a rate like others. Without labels all domains are equally
@@ -201,7 +205,7 @@ def mix(
     placed = stage(measured.select("id", "n_tokens", posterior(model).alias("units")), "domain-posteriors")
     # At most one row per grid cell (5,151 for three domains), so one file holds them.
     cells = stage(placed.groupBy("units").agg(F.sum("n_tokens").alias("n_tokens")).coalesce(1), "domain-cells")
-    steps = fit_rates(cells, domains, weights, total, most, rounds, close)
+    steps = fit_rates(cells, domains, weights, total, most, rounds, close, whole)
     likeliest = F.array(*[F.lit(d) for d in domains])[F.array_position("units", F.array_max("units")).cast("int") - 1]
     shown = [(F.col("units")[k] / GRID).alias(f"p_{d}") for k, d in enumerate(domains)]
     return placed.select(F.col("id").alias("doc_id"), "n_tokens", likeliest.alias("domain"), *shown, rate(steps, most).alias("rate"))

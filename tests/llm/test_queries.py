@@ -104,6 +104,20 @@ def test_pipeline_stages(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "SimHash near-dedup", "mixing sources to target weights", "BPE encoding and decoding"]
 
 
+def test_mixing_stage_keeps_good_documents_where_poor_ones_are_scarce(spark, tmp_path):
+    import random
+
+    dice = random.Random(5)
+    words = ["".join(dice.choices("abcdefghij", k=5)) for _ in range(60)]
+    data = [(i, (" *** " if i % 200 == 7 else " ").join(dice.choices(words, k=60)), "en", "s", 0) for i in range(2000)]
+    folder = str(tmp_path)
+    labels = [(i, 0 if i % 200 == 7 else 1, 0) for i in range(2000)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.mix_domains(spark, frame, folder).collect()}
+    assert sum(i % 200 != 7 for i in kept) > 0.97 * 1990
+
+
 def test_pipeline_on_empty_tables(spark, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
