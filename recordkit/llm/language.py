@@ -10,12 +10,11 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from recordkit.llm.common import held_out, map_rows
+from recordkit.sources.tables import stage
 
 UNKNOWN = "und"
 # Bytes of words in a language's dictionary.
 DICTIONARY = 112 << 10
-# Languages that get a dictionary at most: the most frequent ones.
-LANGUAGES = 100
 # Texts per language from which a dictionary is taken at most; about four times as many are looked at.
 SAMPLES = 256
 LEVEL = 6
@@ -35,34 +34,45 @@ def letters(text: str | None) -> bytes:
 def _samples(rows: Iterator[tuple], most: int) -> Iterator[tuple]:
     for language, at, text in rows:
         data = letters(text)
-        if 0 < len(data) <= most:
-            yield language, at, data, len(data)
+        if data:
+            # A longer text is cut between two words, or within a word that is as long itself.
+            cut = data if len(data) <= most else data[: data.rfind(b" ", 1, most) + 1] or data[:most]
+            yield language, at, cut, len(cut), len(data) > most
 
 
 def dictionaries(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", size: int = DICTIONARY) -> list[tuple[str, bytes]]:
     """A language and its raw-content dictionary each, the most frequent language first.
 
     Learned from texts whose language is not null and whose row is not held out. Texts are taken in the order of a hash
-    of the text, copies once, up to ``SAMPLES`` texts and ``size`` bytes of words per language; a text with more words
-    than a dictionary is passed over. The driver gets ``LANGUAGES`` times ``size`` bytes at most.
+    of the text, copies once, up to ``SAMPLES`` texts and ``size`` bytes of words per language; texts with more words than a
+    dictionary come last and are cut to what is left. Shares drawn follow from the different texts with a letter, and are
+    raised for languages of which too few came out. The driver gets up to twice ``size`` bytes per language.
     """
     given = docs.filter(F.col(lang_column).isNotNull() & ~held_out(F.col(id_column)))
-    given = given.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
-    counts = given.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return []
+    given = given.select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"), F.xxhash64(F.col(text_column)).alias("at"))
+    usable = F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")
+    different = F.approx_count_distinct(F.when(usable, F.col("at")), 0.05)
+    rows = given.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), different.alias("texts")).collect()
+    order = [r["lang"] for r in sorted(rows, key=lambda r: (-r["rows"], r["lang"])) if r["texts"]]
     # Shares of the hash's range that hold about four times the texts wanted.
-    edge = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, 4 * SAMPLES / r["rows"]))])
-    place = F.xxhash64("text")
-    drawn = given.filter(((place.cast("double") / 2.0**64 + 0.5) <= edge[F.col("lang")]) & F.col("text").isNotNull())
-    once = drawn.select("lang", place.alias("at"), "text").dropDuplicates(["lang", "at"])
-    words = map_rows(once, ["lang", "at", "text"], partial(_samples, most=size), "lang string, at long, data binary, size long")
-    order = Window.partitionBy("lang").orderBy("at")  # of a bounded sample
-    kept = words.select("*", F.sum("size").over(order).alias("total"), F.row_number().over(order).alias("n"))
-    chosen: dict[str, list] = {}
-    for row in kept.filter((F.col("total") <= size) & (F.col("n") <= SAMPLES)).select("lang", "at", "data").collect():
-        chosen.setdefault(row["lang"], []).append((row["at"], bytes(row["data"])))
-    return [(r["lang"], b"".join(d for _, d in sorted(chosen[r["lang"]]))) for r in counts if r["lang"] in chosen]
+    shares = {r["lang"]: min(1.0, 4 * SAMPLES / r["texts"]) for r in rows if r["texts"]}
+    chosen: dict[str, list[tuple]] = {}
+    while shares:
+        edges = F.broadcast(docs.sparkSession.createDataFrame(list(shares.items()), "lang string, edge double"))
+        place = F.col("at").cast("double") / 2.0**64 + 0.5
+        once = given.filter(usable).join(edges, "lang").filter(place <= F.col("edge")).dropDuplicates(["lang", "at"])
+        words = map_rows(once, ["lang", "at", "text"], partial(_samples, most=size), "lang string, at long, data binary, size long, cut boolean")
+        by_hash = Window.partitionBy("lang").orderBy("cut", "at")  # of a bounded sample
+        placed = words.select("*", F.sum("size").over(by_hash).alias("total"), F.row_number().over(by_hash).alias("n"), F.count(F.lit(1)).over(Window.partitionBy("lang")).alias("drawn"))
+        fits = (F.col("total") <= size) | (F.col("cut") & (F.col("total") - F.col("size") < size))
+        kept = stage(placed.filter(fits & (F.col("n") <= SAMPLES)).select("lang", "cut", "at", "data", "drawn"), "language-samples")
+        chosen.update({language: [] for language in shares})
+        drawn = dict.fromkeys(shares, 0)
+        for row in kept.collect():
+            chosen[row["lang"]].append((row["cut"], row["at"], bytes(row["data"])))
+            drawn[row["lang"]] = row["drawn"]
+        shares = {language: min(1.0, 8 * edge) for language, edge in shares.items() if edge < 1 and drawn[language] < SAMPLES}
+    return [(language, b"".join(d for *_, d in sorted(chosen[language]))[:size]) for language in order if chosen[language]]
 
 
 def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:

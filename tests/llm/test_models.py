@@ -95,6 +95,21 @@ def test_language_without_examples(spark, awkward):
     assert rows(language.detect(frame.limit(0), [])) == []
 
 
+def test_every_language_gets_a_dictionary(spark):
+    """A few texts among many nulls and copies, long texts alone, and more than a hundred languages."""
+    from pyspark.sql import functions as F
+
+    dice = random.Random(12)
+    few = [(i, words("aa", 30, dice), "few") for i in range(40)]
+    long = [(100 + i, " ".join("".join(dice.choices("abcdefgh", k=9)) for _ in range(13_000)), "long") for i in range(5)]
+    many = [(200 + 10 * k + i, words("bb", 20, dice), f"l{k:03}") for k in range(105) for i in range(10)]
+    frame = spark.createDataFrame(few + long + many, "doc_id long, text string, lang string")
+    filler = spark.range(10_000, 310_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "ka ka").alias("text"), F.lit("few").alias("lang"))
+    got = dict(language.dictionaries(frame.unionByName(filler)))
+    assert len(got) == 107 and all(0 < len(d) <= language.DICTIONARY for d in got.values())
+    assert all(language.letters(t) in got["few"] for i, t, _ in few if not out(i)) and len(got["long"]) > 100_000
+
+
 def test_narrow_margins():
     assert language.judge([50, 50, 60]) == (0, pytest.approx(1 / (2 + 2**-10)), True)
     assert language.judge([1000, 900]) == (1, pytest.approx(1), False)
