@@ -8,22 +8,23 @@ from __future__ import annotations
 
 import math
 import string
+from itertools import groupby
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.llm.common import map_rows
+from recordkit.sources.tables import stage
 
 # Rules on host and path: fixed values.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 ORDER = 5
-# URLs per verdict in the training sample (in expectation); longer ones than this are not trained on.
-TRAINING, LONGEST = 20_000, 2_000
-# Character sequences kept per verdict at most, the most frequent first.
-SEQUENCES = 100_000
+# Rows that are scored together: a power of two.
+BLOCK_BITS = 12
 START, END = "\x02", "\x03"
 # Share of a character that no training URL has.
 UNSEEN = 1 / 256
@@ -96,18 +97,79 @@ class Markov:
 
 @dataclass(frozen=True)
 class UrlModel:
-    accepted: Markov
-    rejected: Markov
-    edge: float
+    """Written tables: how often each sequence stands in URLs of either verdict (``n_allow``, ``n_block``), and each context
+    (``seen_``) before how many characters (``kinds_``). From ``edge`` on a URL is accepted."""
 
-    def difference(self, url: str | None) -> float:
-        text = url or ""
-        return (self.accepted.log_likelihood(text) - self.rejected.log_likelihood(text)) / (len(text) + 1)
+    counts: DataFrame
+    contexts: DataFrame
+    edge: float
 
 
-def _differences(rows: Iterator[tuple], model: UrlModel) -> Iterator[tuple]:
-    for *given, url in rows:
-        yield (*given, model.difference(url))
+def top_sequences(url: str) -> list[str]:
+    """Each character with its context."""
+    text = START + url + END
+    return [text[max(0, end - ORDER) : end + 1] for end in range(1, len(text))]
+
+
+def _top_sequences(rows: Iterator[tuple]) -> Iterator[tuple]:
+    for block, own in groupby(rows, itemgetter(0)):
+        held: set[str] = set()
+        for _, url in own:
+            held.update(top_sequences(url))
+            if len(held) > 200_000:
+                yield from ((block, s) for s in held)
+                held.clear()
+        yield from ((block, s) for s in held)
+
+
+def share_tables(wanted: DataFrame, model: UrlModel) -> list[DataFrame]:
+    """Shares of the last character of each ``sequence`` by both models, by length of the sequence: as in ``Markov``, each
+    length from the one before. A table for each length, written."""
+    lengths = F.sequence(F.lit(1), F.length("sequence"))
+    ends = wanted.select(F.explode(F.transform(lengths, lambda n: F.expr("sequence").substr(F.length("sequence") - n + 1, n))).alias("sequence")).distinct()
+    ends = ends.join(model.counts, "sequence", "left").withColumn("context", F.expr("left(sequence, length(sequence) - 1)"))
+    known = stage(ends.join(model.contexts, "context", "left").drop("context"), "url-wanted")
+    out: list[DataFrame] = []
+    for length in range(1, ORDER + 2):
+        own = known.filter(F.length("sequence") == length)
+        if out:
+            shorter = out[-1].withColumnRenamed("sequence", "shorter")
+            own = own.withColumn("shorter", F.expr("substring(sequence, 2)")).join(shorter, "shorter")
+        else:
+            own = own.withColumns({"share_allow": F.lit(UNSEEN), "share_block": F.lit(UNSEEN)})
+        shares = []
+        for verdict in ("allow", "block"):
+            n, seen, kinds = (F.coalesce(f"{name}_{verdict}", F.lit(0)) for name in ("n", "seen", "kinds"))
+            before = F.col(f"share_{verdict}")
+            shares.append(F.when(seen > 0, (n + kinds * before) / (seen + kinds)).otherwise(before).alias(f"share_{verdict}"))
+        out.append(stage(own.select("sequence", *shares), "url-shares"))
+    return out
+
+
+def with_difference(rows: DataFrame, model: UrlModel) -> DataFrame:
+    """``rows`` with ``difference`` (log-likelihood per character, accepted less rejected) in place of ``url``.
+
+    Rows are dealt into blocks of at most ``2 ** BLOCK_BITS``; each looks up the different sequences of its URLs alone.
+    """
+    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
+    # Written, since a task that runs again may number other rows.
+    dealt = stage(rows.withColumn("url", F.coalesce("url", F.lit(""))).withColumn("block", block), "url-blocks")
+    wanted = stage(map_rows(dealt, ["block", "url"], _top_sequences, "block long, sequence string").distinct(), "url-sequences-wanted")
+    tables = share_tables(wanted.select("sequence").distinct(), model)
+    shares = tables[0]
+    for one in tables[1:]:
+        shares = shares.unionByName(one)
+    found = wanted.join(shares, "sequence").select("block", "sequence", (F.log("share_allow") - F.log("share_block")).alias("step"))
+    kept = [c for c in rows.columns if c != "url"]
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        step = dict(zip(right.column("sequence").to_pylist(), right.column("step").to_pylist()))
+        urls = left.column("url").to_pylist()
+        differences = [sum(step[s] for s in top_sequences(url)) / (len(url) + 1) for url in urls]
+        return left.select(kept).append_column("difference", pa.array(differences, pa.float64()))
+
+    schema = dealt.select(*kept, F.lit(0.0).alias("difference")).schema
+    return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(scored, schema)
 
 
 def best_edge(classes: list[tuple[str, int, int]]) -> float:
@@ -140,27 +202,26 @@ def judged_by_rules(pages: DataFrame, id_column: str, url_column: str, rules: li
 def fit_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: str = "page_id", url_column: str = "url") -> UrlModel | None:
     """Models of the URLs that rules allow and block; None if one kind is missing.
 
-    Different URLs are dealt by a hash: one in five calibrates, of the others about ``TRAINING`` per verdict train, of at
-    most ``LONGEST`` characters. The driver gets ``SEQUENCES`` counts per verdict and one count per class of differences.
+    Different URLs are dealt by a hash: one in five calibrates, all others train, whole and however many they are. Counts stay in
+    written tables; the driver gets one count per class of differences.
     """
     told = judged_by_rules(pages, id_column, url_column, rules).filter("told is not null").select("told", "url")
     # Copies of a URL hash alike, so they are either all drawn or none, and count once.
     place = F.xxhash64("url").cast("double") / 2.0**64 + 0.5
-    totals = {r["told"]: r["n"] for r in told.groupBy("told").agg(F.approx_count_distinct("url", 0.02).alias("n")).collect()}
-    if set(totals) != {"allow", "block"}:
+    if {r["told"] for r in told.select("told").distinct().collect()} != {"allow", "block"}:
         return None
-    drawn = F.create_map(*[F.lit(v) for k, n in totals.items() for v in (k, min(0.8, TRAINING / n))])
-    once = told.filter((place <= drawn[F.col("told")]) & (F.length("url") <= LONGEST)).distinct()
-    summed = map_rows(once, ["told", "url"], _sequences, "told string, sequence string, n long").groupBy("told", "sequence").agg(F.sum("n").alias("n"))
-    models = {}
-    for verdict in ("allow", "block"):
-        most = summed.filter(F.col("told") == verdict).orderBy(F.desc("n"), F.length("sequence"), "sequence").limit(SEQUENCES)
-        models[verdict] = Markov.of({r["sequence"]: r["n"] for r in most.collect()})
-    model = UrlModel(models["allow"], models["block"], 0.0)
-    test = map_rows(told.filter(place > 0.8).distinct(), ["told", "url"], partial(_differences, model=model), "told string, difference double")
-    held = F.least(F.greatest(F.floor(F.col("difference") * CLASSES), F.lit(-BOUND * CLASSES)), F.lit(BOUND * CLASSES))
-    classes = test.groupBy("told", held.alias("class")).agg(F.count(F.lit(1)).alias("n")).collect()
-    return UrlModel(models["allow"], models["block"], best_edge([(r["told"], r["class"], r["n"]) for r in classes]))
+    once = told.filter(place <= 0.8).distinct()
+    sequences = map_rows(once, ["told", "url"], _sequences, "told string, sequence string, n long")
+    sums = [F.coalesce(F.sum(F.when(F.col("told") == v, F.col("n"))), F.lit(0)).alias(f"n_{v}") for v in ("allow", "block")]
+    counts = stage(sequences.groupBy("sequence").agg(*sums), "url-sequences")
+    context = F.expr("left(sequence, length(sequence) - 1)").alias("context")
+    held = [x for v in ("allow", "block") for x in (F.sum(f"n_{v}").alias(f"seen_{v}"), F.count_if(F.col(f"n_{v}") > 0).alias(f"kinds_{v}"))]
+    contexts = stage(counts.groupBy(context).agg(*held), "url-contexts")
+    model = UrlModel(counts, contexts, 0.0)
+    test = with_difference(told.filter(place > 0.8).distinct(), model)
+    at = F.least(F.greatest(F.floor(F.col("difference") * CLASSES), F.lit(-BOUND * CLASSES)), F.lit(BOUND * CLASSES))
+    classes = test.groupBy("told", at.alias("class")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return UrlModel(counts, contexts, best_edge([(r["told"], r["class"], r["n"]) for r in classes]))
 
 
 def filter_urls(pages: DataFrame, model: UrlModel | None, rules: list[tuple[str, str]] = RULES, id_column: str = "page_id", url_column: str = "url") -> DataFrame:
@@ -177,8 +238,6 @@ def filter_urls(pages: DataFrame, model: UrlModel | None, rules: list[tuple[str,
     if model is None:
         judged, own = told.withColumn("difference", F.lit(None).cast("double")), F.lit("allow")
     else:
-        kind = pages.schema[id_column].dataType.simpleString()
-        schema = f"page_id {kind}, host string, path string, rule string, told string, difference double"
-        judged = map_rows(told, [*kept, "url"], partial(_differences, model=model), schema)
+        judged = with_difference(told.select(*kept, "url"), model)
         own = F.when(F.col("difference") >= model.edge, F.lit("allow")).otherwise(F.lit("block"))
     return judged.select("page_id", "host", "path", "rule", F.coalesce("told", own).alias("verdict"), "difference")

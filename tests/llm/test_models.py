@@ -169,6 +169,32 @@ def test_url_model(spark):
     assert urls.fit_urls(frame.limit(0)) is None and rows(urls.filter_urls(frame.limit(0), model)) == []
 
 
+def test_url_differences_come_from_all_whole_urls(spark):
+    """Against models of every labelled URL outside the calibration fifth, one of them longer than 2,000 characters."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    dice = random.Random(8)
+    told = {f"http://{'abc'[i % 3]}.{'org' if i % 2 else 'com'}/{'en' if i % 2 else 'de'}/{dice.randint(0, 9999)}é": "allow" if i % 2 else "block" for i in range(60)}
+    told |= {f"http://x.org/{k}/" + "qzj" * 900: "allow" for k in range(4)}
+    free = ["http://x.net/qzjqzj", "http://a.net/de/77", None, "", "ü"]
+    frame = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate([*told, *free])], PAGES)
+    place = F.xxhash64("url").cast("double") / 2.0**64 + 0.5
+    train = {r["url"] for r in frame.filter(place <= 0.8).collect()} & set(told)
+    assert any(len(u) > 2000 for u in train)
+    models = {}
+    for verdict in ("allow", "block"):
+        counts = Counter()
+        for _, sequence, n in urls._sequences((verdict, u) for u in train if told[u] == verdict):
+            counts[sequence] += n
+        models[verdict] = urls.Markov.of(counts)
+    got = {r["page_id"]: r["difference"] for r in urls.filter_urls(frame, urls.fit_urls(frame)).collect()}
+    for i, url in enumerate([*told, *free]):
+        text = url or ""
+        assert got[i] == pytest.approx((models["allow"].log_likelihood(text) - models["block"].log_likelihood(text)) / (len(text) + 1), abs=1e-9)
+
+
 def test_markov_shares_sum_to_at_most_one():
     model = urls.Markov.of({"\x02a": 3, "ab": 2, "a": 3, "b": 2, "\x03": 1, "ba": 1})
     shares = [np.exp(model.log_likelihood(c) - 0) for c in ("a", "b")]
