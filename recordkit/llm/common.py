@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from recordkit.sources.tables import read_table
+from recordkit.sources.tables import read_table, stage
 
 # Rows that a row function handles, and hands on, at a time.
 ROWS_AT_ONCE = 256
@@ -84,3 +84,22 @@ def rows_named(docs: DataFrame, names: DataFrame, keys: dict[str, Column], how:
         one = expression.eqNullSafe(renamed[f"__named_{i}"])
         condition = one if condition is None else condition & one
     return docs.join(renamed, condition, how)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``name``, each row's place in ``order`` from 1 on, written.
+
+    Rows are dealt by ranges of the order, so that no task holds more than its range, whatever key is frequent; the place
+    is the row's place within its range and the rows of the ranges before it, of which there are as many as partitions.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    written = stage(ranged, "ordered-rows")
+    part = F.shiftright("__at", 33)
+    before, offsets = 0, []
+    for r in sorted(written.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        offsets.append((r["part"], before))
+        before += r["n"]
+    earlier = F.broadcast(spark.createDataFrame(offsets, "__part long, __before long"))  # a row per partition at most
+    place = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return written.join(earlier, part == F.col("__part")).withColumn(name, place).drop("__at", "__part", "__before")

@@ -15,6 +15,7 @@ from recordkit.llm.licenses import scan_licenses, template_words
 from recordkit.llm.mixing import mix
 from recordkit.llm.passages import repeated_passages
 from recordkit.llm.quality import quality_rules
+from recordkit.llm.resampling import resample
 from recordkit.llm.simhash import simhash_groups
 from recordkit.llm.toxicity import fit, score
 from recordkit.llm.urls import filter_urls, fit_urls
@@ -115,3 +116,31 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), percent=25, least_words=20, seed=7, buckets=10_000)
+
+
+# crc32 by its table of bytes, on each different feature once.
+SQL["op11_importance_resampling"] = """
+WITH codes AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS code),
+words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w != '') AS words
+    FROM (SELECT doc_id, text FROM documents UNION ALL SELECT NULL, text FROM benchmark)),
+runs AS (SELECT doc_id, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS run FROM words),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+kinds AS (SELECT DISTINCT run, encode(run) AS bytes FROM counted),
+placed AS (SELECT run, xor(list_reduce([4294967295] || list_transform(range(octet_length(bytes)), lambda i: ('0x' || substr(hex(bytes), 2 * i + 1, 2))::BIGINT),
+        lambda v, b: xor(v >> 8, code[1 + (xor(v, b) & 255)])), 4294967295) % 10000 AS bucket FROM kinds, codes),
+totals AS (SELECT coalesce(sum(n) FILTER (doc_id IS NOT NULL), 0) AS own, coalesce(sum(n) FILTER (doc_id IS NULL), 0) AS target FROM counted),
+held AS (SELECT bucket, coalesce(sum(n) FILTER (doc_id IS NOT NULL), 0) AS s, coalesce(sum(n) FILTER (doc_id IS NULL), 0) AS t FROM counted JOIN placed USING (run) GROUP BY bucket),
+gained AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (own + 10000) / ((s + 1)::DOUBLE * (target + 10000)))) AS gain FROM held, totals),
+weighed AS (SELECT doc_id, sum(n) AS n_features, floor(sum(n * gain) / sum(n)) AS weight FROM counted JOIN placed USING (run) JOIN gained USING (bucket) GROUP BY doc_id),
+scored AS (SELECT d.doc_id, len(words) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || d.doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+    FROM words d LEFT JOIN weighed w ON w.doc_id = d.doc_id WHERE d.doc_id IS NOT NULL),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 25 // 100 FROM ranked) THEN rank END AS rank FROM scored s LEFT JOIN ranked r ON r.doc_id = s.doc_id
+"""
