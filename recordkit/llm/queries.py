@@ -16,6 +16,7 @@ from recordkit.llm.language import detect, dictionaries
 from recordkit.llm.licenses import scan_licenses, template_words
 from recordkit.llm.mixing import mix
 from recordkit.llm.passages import repeated_passages
+from recordkit.llm.prefix_trie import grafted, placed_turns, prefix_trie
 from recordkit.llm.quality import quality_rules
 from recordkit.llm.resampling import resample
 from recordkit.llm.simhash import simhash_groups
@@ -172,3 +173,35 @@ joined AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || te
     coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS learned, sum(chars)::BIGINT AS formatted_chars FROM marked GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learned)::BIGINT AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars FROM joined
 """
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    placed = placed_turns(table(spark, folder, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    rebuilt = grafted(placed, F.col("conv_id") - F.col("conv_id") % 100, head, most=5)
+    return prefix_trie(rebuilt, placed.filter("place = 0").select("conv_id"))
+
+
+SQL["op13_prefix_trie"] = """
+WITH codes AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS code),
+given AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place, md5(length(role) || ':' || role || text) AS turn, length(text) AS chars FROM given),
+ids AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce([4294967295] || list_transform(range(length(conv_id::VARCHAR)), lambda i: ascii(substr(conv_id::VARCHAR, i + 1, 1))::BIGINT),
+        lambda v, b: xor(v >> 8, code[1 + (xor(v, b) & 255)])), 4294967295) % 6 AS head
+    FROM (SELECT DISTINCT conv_id FROM given), codes),
+rebuilt AS (SELECT i.conv_id, place, turn, chars, 0 AS own FROM ids i JOIN turns t ON t.conv_id = base AND place < head
+    UNION ALL SELECT conv_id, place, turn, chars, 1 FROM ids JOIN turns USING (conv_id) WHERE place >= head),
+paths AS (SELECT conv_id, coalesce(list(turn ORDER BY own, place) FILTER (turn IS NOT NULL), []) AS path, coalesce(list(chars ORDER BY own, place) FILTER (turn IS NOT NULL), []) AS lengths
+    FROM ids LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+steps AS (SELECT conv_id, path, lengths, unnest(range(len(path) + 1)) AS depth FROM paths),
+members AS (SELECT conv_id, depth, array_to_string(path[1:depth], '') AS node, array_to_string(path[1:depth - 1], '') AS up, CASE WHEN depth = 0 THEN 0 ELSE lengths[depth] END AS chars, len(path) = depth AS ends FROM steps),
+nodes AS (SELECT depth, node, CASE WHEN depth > 0 THEN any_value(up) END AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+    FROM members GROUP BY depth, node),
+children AS (SELECT up AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY up),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.node = n.node),
+below AS (SELECT a.depth, a.node, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((b.n_convs - 1) * b.chars)::BIGINT AS saved_tokens
+    FROM counted a JOIN counted b ON starts_with(b.node, a.node) GROUP BY a.depth, a.node)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, b.n_leaves, b.saved_tokens, sha256(c.ids) AS ends_sha256
+FROM counted c JOIN below b ON b.node = c.node LEFT JOIN nodes p ON p.node = c.up
+"""
