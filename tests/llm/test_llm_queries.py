@@ -26,7 +26,7 @@ def test_against_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 13))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op2_mixing", "op5_license_scan"])
