@@ -7,17 +7,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-LOOKUP_ROWS = 100_000
+LOOKUP_ROWS, LOOKUP_BYTES = 100_000, 32 << 20
 
 
-def small_lookup(lookup: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame:
-    """Mark a lookup for broadcast if it has at most ``limit`` rows.
+def is_small(lookup: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> bool:
+    """True if a table has at most ``rows`` rows, and ``size`` bytes of values as text; no more than ``rows + 1`` rows are read."""
+    text = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in lookup.columns])
+    found = lookup.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("size")).first()
+    return found["rows"] <= rows and found["size"] <= size
 
-    The check reads no more than ``limit + 1`` rows. Lookups have few different keys, so a join
-    by key would send most rows to few tasks; a larger lookup is joined by key nevertheless, and
-    the adaptive join splits its hot keys.
+
+def small_lookup(lookup: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> DataFrame:
+    """Mark a lookup for broadcast if it ``is_small``.
+
+    Lookups have few different keys, so a join by key would send most rows to few tasks; a larger lookup is joined by key
+    nevertheless, and the adaptive join splits its hot keys.
     """
-    return F.broadcast(lookup) if lookup.limit(limit + 1).count() <= limit else lookup
+    return F.broadcast(lookup) if is_small(lookup, rows, size) else lookup
 
 
 def left_fan(spine: DataFrame, sides: list[DataFrame], key: list[str]) -> DataFrame:

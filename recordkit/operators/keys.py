@@ -70,3 +70,43 @@ def first_row_flags(df: DataFrame, key: list[str], orders: dict[str, str]) -> Da
     same_key = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
     flags = [(F.col("_row") == F.col(f"_first_{flag}")).alias(flag) for flag in orders]
     return stored.join(winners, same_key).select(*columns, *flags)
+
+
+def first_rows_of_join(left: DataFrame, right: DataFrame, on: list[str], key: list[str], orders: dict[str, str], columns: list[str]) -> DataFrame:
+    """The rows that ``first_row_flags`` marks in the inner join of two tables, without the join.
+
+    Rows of a side are independent of the other side's within one value of ``on``, so the first row of the product is made of the
+    first row of each side, each in the order of its own columns, however the columns of both alternate. Each side gives one
+    row per ``on``; only these meet, and the first per ``key`` (part of ``on``) is a minimum again. ``orders`` maps flag -> date column, ``columns`` are the
+    other columns that break ties ascending, in their order, before those of ``on``.
+
+    One row per key and different first row: the columns, ``on``, and a flag per order. NULLs in ``on`` match nothing.
+    """
+    rest = [c for c in on if c not in key]
+    sides = {c: name for name, side in (("l", left), ("r", right)) for c in columns if c in side.columns and c not in on}
+
+    def parts(date: str) -> list[tuple[str, Column | None]]:
+        """Order parts by name, each with its expression on the side that has it (None for ``on``)."""
+        first = [("_newest", newest_place(date, [])["newest"])] if date in sides else []
+        return [*first, *[(c, F.col(c)) for c in columns if c != date and c in sides], *[(c, None) for c in rest], (date, F.col(date))]
+
+    def least(name: str, side: DataFrame) -> DataFrame:
+        def own(date: str) -> list[Column]:
+            return [e.alias(c) for c, e in parts(date) if e is not None and sides[date if c == "_newest" else c] == name] or [F.lit(0).alias("_none")]
+
+        return side.groupBy(*on).agg(*[F.min(F.struct(*own(date))).alias(f"_{name}_{flag}") for flag, date in orders.items()])
+
+    met = least("l", left).join(least("r", right), on)
+
+    def place(flag: str, date: str) -> Column:
+        def found(c: str) -> Column:
+            side = sides.get(date if c == "_newest" else c)
+            return F.col(c) if side is None else F.col(f"_{side}_{flag}")[c]
+
+        return F.min(F.struct(*[found(c).alias(c) for c, _ in parts(date)]))
+
+    shown = [*columns, *rest]
+    winners = met.groupBy(*key).agg(*[place(flag, date).alias(flag) for flag, date in orders.items()])
+    winners = winners.select(*key, *[F.struct(*[F.col(flag)[c].alias(c) for c in shown]).alias(flag) for flag in orders])
+    each = winners.withColumn("_row", F.explode(F.array_distinct(F.array(*orders))))
+    return each.select(*key, *[F.col("_row")[c].alias(c) for c in shown], *[F.col("_row").eqNullSafe(F.col(flag)).alias(flag) for flag in orders])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recordkit.functions.rules import uploaded_id
 from recordkit.functions.text import full_name, pad_zeros
-from recordkit.operators.keys import first_row_flags
+from recordkit.operators.keys import first_rows_of_join
 from recordkit.operators.reshape import unpivot_scores
 from recordkit.operators.windows import AssessmentWindow, course_member, school_member
 
@@ -62,40 +62,56 @@ def qualifying_courses(sis: Mapping[str, DataFrame], run: SheetRun) -> DataFrame
     )
 
 
-def assessed_students(sis: Mapping[str, DataFrame], run: SheetRun) -> DataFrame:
-    """Uploaded students with the school and course they were in during the window; one row per
-    qualifying enrolment and course, and per copy in the upload."""
-    w = run.window
-    uploaded = sis["pm_civics_flip_temp"].select(uploaded_id(F.col("student_id")).alias("student_id")).filter("student_id IS NOT NULL")
+def scheduled_rows(sis: Mapping[str, DataFrame], run: SheetRun) -> DataFrame:
+    """Schedule rows of qualifying courses that began by the first day of the window."""
+    scheduled = (
+        sis["schedule"]
+        .filter((F.col("syear") == run.syear) & (F.col("start_date") <= F.lit(run.window.opens).cast("date")))
+        .select("student_id", "school_id", "course_period_id", F.col("start_date").alias("sch_start"), F.col("end_date").alias("sch_end"))
+    )
+    return scheduled.join(qualifying_courses(sis, run), "course_period_id")
+
+
+def enrolment_rows(sis: Mapping[str, DataFrame], run: SheetRun) -> DataFrame:
+    """First enrolments of the year with their school and grade."""
     enrolled = (
         sis["student_enrollment"]
         .filter((F.col("syear") == run.syear) & (F.coalesce("custom_9", F.lit("N")) == "N"))
         .select("student_id", "school_id", "grade_id", F.col("start_date").alias("se_start"), F.col("end_date").alias("se_end"))
     )
-    scheduled = (
-        sis["schedule"]
-        .filter((F.col("syear") == run.syear) & (F.col("start_date") <= F.lit(w.opens).cast("date")))
-        .select("student_id", "school_id", "course_period_id", F.col("start_date").alias("sch_start"), F.col("end_date").alias("sch_end"))
-    )
     school = sis["schools"].select(F.col("id").alias("school_id"), F.col("custom_327").alias("school_code"), F.col("title").alias("school_name"))
     grade = sis["school_gradelevels"].select(F.col("id").alias("grade_id"), F.col("title").alias("grade"))
-    rows = (
-        scheduled.join(qualifying_courses(sis, run), "course_period_id")
-        .join(uploaded, "student_id")
-        .join(enrolled, ["student_id", "school_id"])
-        .join(school, "school_id")
-        .join(grade, "grade_id")
-        .select(
-            "student_id", "school_code", "school_name", "grade", "course", "teacher", "course_period_id",
-            "se_start", "se_end", "sch_start", "sch_end",
-        )
-    )
+    return enrolled.join(school, "school_id").join(grade, "grade_id").drop("grade_id")
+
+
+CANDIDATE = ["school_code", "school_name", "grade", "course", "teacher", "course_period_id", "se_start", "se_end", "sch_start", "sch_end"]
+
+
+def assessed_students(sis: Mapping[str, DataFrame], run: SheetRun) -> DataFrame:
+    """Uploaded students with the school and course they were in during the window; one row per
+    qualifying enrolment and course, and per copy in the upload.
+
+    Every enrolment of a student meets every schedule row in the same school, but this product is not made. A pair
+    qualifies by its two rows alone, in which case rows that do not are left out before they meet, or because it is the
+    newest of the student in some order, and those few pairs are found from the newest rows of each side.
+    """
+    w, on = run.window, ["student_id", "school_id"]
+    uploaded = sis["pm_civics_flip_temp"].select(uploaded_id(F.col("student_id")).alias("student_id")).filter("student_id IS NOT NULL")
+    scheduled = scheduled_rows(sis, run).join(uploaded, "student_id", "left_semi")
+    enrolled = enrolment_rows(sis, run).join(uploaded, "student_id", "left_semi")
+    no = F.lit(False)
+    in_course = course_member(w, F.col("sch_start"), F.col("sch_end"), no)
+    in_school = school_member(w, F.col("se_start"), F.col("se_end"), no, no)
+    plain = scheduled.filter(in_course).join(enrolled.filter(in_school), on).join(uploaded, "student_id")
     newest = {"_sch_end": "sch_end", "_se_start": "se_start", "_se_end": "se_end"}
-    rows = first_row_flags(rows, ["student_id"], newest)
-    in_course = course_member(w, F.col("sch_start"), F.col("sch_end"), F.col("_sch_end"))
-    in_school = school_member(w, F.col("se_start"), F.col("se_end"), F.col("_se_start"), F.col("_se_end"))
+    marked = first_rows_of_join(scheduled, enrolled, on, ["student_id"], newest, CANDIDATE)
+    by_course = course_member(w, F.col("sch_start"), F.col("sch_end"), F.col("_sch_end"))
+    by_school = school_member(w, F.col("se_start"), F.col("se_end"), F.col("_se_start"), F.col("_se_end"))
+    # Only one copy of a pair is the newest; a pair that qualifies by its rows is there with all its copies.
+    special = marked.filter(by_course & by_school & ~F.coalesce(in_course & in_school, no))
+    rows = plain.select("student_id", *CANDIDATE).unionByName(special.select("student_id", *CANDIDATE))
     people = sis["students"].select("student_id", "last_name", "first_name")
-    return rows.filter(in_course & in_school).join(people, "student_id").select(
+    return rows.join(people, "student_id").select(
         F.lit(run.school_year).alias("school_year"),
         "student_id",
         F.col("last_name").alias("student_last"),
@@ -114,11 +130,11 @@ def assessed_students(sis: Mapping[str, DataFrame], run: SheetRun) -> DataFrame:
 def answer_rows(sis: Mapping[str, DataFrame], run: SheetRun = SheetRun(), ordered: bool = True) -> DataFrame:
     """One row per assessed student, question and key row, ordered by student.
 
-    The order also names the question, so that one student's rows can be spread over ranges.
+    The order also names course, school and enrolment, so that one student's rows can be spread over ranges.
     """
     general = assessed_students(sis, run)
     sheet = sis["pm_civics_flip_temp"]
     sheet = sheet.select(uploaded_id(F.col("student_id")).alias("student_id"), run.overall, *run.questions)
     wide = general.join(sheet, "student_id").withColumn("student_id", F.col("student_id").cast("string"))
-    rows = unpivot_scores(wide, general.columns, run.overall, list(run.questions), sis["pm_civics_standards_temp"], KEY_COLUMNS)
-    return rows.orderBy("student_id", "question", "course", "school_id", "enrollment_start") if ordered else rows
+    order = ["student_id", "course", "school_id", "enrollment_start", "teacher"] if ordered else None
+    return unpivot_scores(wide, general.columns, run.overall, list(run.questions), sis["pm_civics_standards_temp"], KEY_COLUMNS, order)

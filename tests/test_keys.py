@@ -3,7 +3,7 @@ import random
 import pytest
 from helpers import bag, day, rows
 
-from recordkit.operators.keys import active_or_latest, first_row_flags, latest_per_key
+from recordkit.operators.keys import active_or_latest, first_row_flags, first_rows_of_join, latest_per_key
 
 SCHEMA = "k int, id int, start date, end date"
 
@@ -83,3 +83,32 @@ def test_the_newest_row_is_chosen_before_and_after_the_shuffle(spark):
     for out in (latest_per_key(frame, ["k"], "end", ["id"]), active_or_latest(frame, ["k"], "end", ["id"])):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_first_rows_of_a_join_without_the_join(spark, partitions, seed):
+    partitions(5)
+    pick = random.Random(seed)
+
+    def date():
+        return None if pick.random() < 0.2 else day(f"2022-01-0{pick.randint(1, 4)}")
+
+    left = [(pick.randrange(12), pick.choice([None, 1, 2, 3]), pick.choice([None, "a", "b"]), date()) for _ in range(150)]
+    right = [(pick.randrange(12), pick.choice([None, 1, 2, 3]), pick.choice("xy"), date(), date()) for _ in range(150)]
+    a = spark.createDataFrame(left, "k int, s int, c string, l_end date").repartition(3)
+    b = spark.createDataFrame(right, "k int, s int, d string, r_start date, r_end date").repartition(3)
+    columns, orders = ["d", "c", "r_start", "r_end", "l_end"], {"f1": "l_end", "f2": "r_start", "f3": "r_end"}
+    out = first_rows_of_join(a, b, ["k", "s"], ["k"], orders, columns)
+    product = [(x[0], x[1], y[2], x[2], y[3], y[4], x[3]) for x in left for y in right if x[:2] == y[:2] and x[1] is not None]
+    want = {}
+    for flag, at in (("f1", 6), ("f2", 4), ("f3", 5)):
+        for k in {r[0] for r in product}:
+            def place(r, at=at):
+                newest = (r[at] is not None, -r[at].toordinal() if r[at] else 0)
+                rest = [(r[i] is not None, r[i]) if r[i] is not None else (False,) for i in (2, 3, 4, 5, 6, 1) if i != at]
+                return (newest, rest)
+
+            want.setdefault(min((r for r in product if r[0] == k), key=place), set()).add(flag)
+    got = {(r["k"], r["s"], *[r[c] for c in columns]): {f for f in orders if r[f]} for r in out.collect()}
+    assert got == want
+    assert rows(first_rows_of_join(a.limit(0), b, ["k", "s"], ["k"], orders, columns)) == []

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
+from recordkit.operators import joins, keys, reshape
 from recordkit.operators.changes import last_change_dates
 from recordkit.operators.joins import left_fan
 from recordkit.operators.measures import attendance_rate
@@ -19,6 +21,7 @@ from recordkit.queries import reports, steps  # noqa: F401  (register their quer
 from recordkit.queries.registry import QUERIES
 from recordkit.queries.sis import model
 from recordkit.queries.tables import Tables
+from recordkit.sources import tables
 
 GIVEN = "/root/testdata/sf0.001"
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
@@ -113,6 +116,26 @@ def test_extract_keeps_rows_of_its_students_first(spark, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_answer_sheet_is_ordered_by_student(spark):
-    students = [r["student_id"] for r in answer_rows(model(spark, GIVEN)).select("student_id").collect()]
-    assert students == sorted(students) and len(set(students)) > 1
+@pytest.mark.parametrize("key_rows", [100_000, 0])
+def test_answer_sheet_is_ordered_by_student(spark, partitions, monkeypatch, key_rows):
+    monkeypatch.setattr(reshape, "is_small", partial(joins.is_small, rows=key_rows))
+    partitions(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sheet = answer_rows(model(spark, GIVEN))
+        placed = sheet.withColumn("part", F.spark_partition_id()).select("student_id", "course", "school_id", "part").collect()
+        plan = planned(sheet)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    students = [(r["student_id"], r["course"], r["school_id"]) for r in placed]
+    assert students == sorted(students) and len(set(students)) > 1 and len({r["part"] for r in placed}) > 1
+    # Printed from the last step down: the sheet goes through the range exchange before it is unpivoted.
+    assert (plan.index("Expand") < plan.index("Exchange rangepartitioning")) == (key_rows > 0)
+
+
+def test_answer_sheet_stores_no_product(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(tables, "stage", lambda df, *rest: written.append(df) or df)
+    monkeypatch.setattr(keys, "stage", tables.stage)
+    answer_rows(model(spark, GIVEN))
+    assert written == []
