@@ -112,7 +112,8 @@ def student_gpas(sis: Mapping[str, DataFrame], run: AuditRun) -> DataFrame:
 def gpa_audit(sis: Mapping[str, DataFrame], run: AuditRun = AuditRun(), folder: str | None = None) -> DataFrame:
     """The audit: totals, GPAs, both class ranks, their difference and both percentiles."""
     group = ["school", "grade_level"]
-    gpas = stage(student_gpas(sis, run), "student-gpas", folder)
+    gpas = student_gpas(sis, run)
+    gpas = stage(gpas, "student-gpas", folder) if folder else gpas  # ranking stores its rows itself
     ranked = rank_in_group(gpas, group, {"adjusted_gpa": "adjusted_rank", "current_gpa": "current_rank"}, size="students")
     # A group without a school name has ranks but no percentile.
     students = F.when(F.col("school").isNotNull(), F.col("students"))

@@ -233,7 +233,7 @@ def _quality_gpa(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _class_rank_percentile(spark: SparkSession, folder: str) -> DataFrame:
     group = ["n_name", "c_mktsegment"]
-    gpas = stage(_gpas(Tables(spark, folder)), "customer-gpas")
+    gpas = _gpas(Tables(spark, folder))
     ranked = rank_in_group(gpas, group, {"gpa": "gpa_rank", "credits": "credit_rank"}, size="students", bucket_width=10)
     return ranked.select(
         "c_custkey",
