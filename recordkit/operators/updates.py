@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recordkit.sources.tables import stage
+from recordkit.sources.versions import Version, file_name, publish_files, write_files
+
 
 @dataclass(frozen=True)
 class UpdateResult:
@@ -40,17 +44,59 @@ def keyed_update(
     to the chosen value (for example a cast). A matched NULL value is written as NULL.
     """
     reduced = one_value_per_key(source, list(on.values()), value)
-    chosen = reduced.select(
-        *[F.col(s).alias(f"_key_{t}") for t, s in on.items()], "_new", F.lit(True).alias("_matched")
-    )
-    condition: Column | None = None
-    for t in on:
-        same = F.col(t) == F.col(f"_key_{t}")
-        condition = same if condition is None else condition & same
+    conflicts = reduced.filter("choices > 1").withColumnRenamed("_new", value)
+    return UpdateResult(_updated(target, _chosen(reduced, target, on, column, transform), on, column), conflicts)
+
+
+def _chosen(reduced: DataFrame, target: DataFrame, on: dict[str, str], column: str, transform) -> DataFrame:
+    """The value of each offered key, in the type of the target's column."""
     new_value = transform(F.col("_new")) if transform else F.col("_new")
-    updated = F.when(F.col("_matched"), new_value.cast(target.schema[column].dataType)).otherwise(F.col(column))
-    table = target.join(chosen, condition, "left").select(
-        *[updated.alias(column) if c == column else F.col(c) for c in target.columns]
-    )
+    return reduced.select(*[F.col(s).alias(f"_key_{t}") for t, s in on.items()], new_value.cast(target.schema[column].dataType).alias("_new"), F.lit(True).alias("_matched"))
+
+
+def _same_key(on: dict[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(t) == F.col(f"_key_{t}") for t in on])
+
+
+def _updated(target: DataFrame, chosen: DataFrame, on: dict[str, str], column: str) -> DataFrame:
+    updated = F.when(F.col("_matched"), F.col("_new")).otherwise(F.col(column))
+    return target.join(chosen, _same_key(on), "left").select(*[updated.alias(column) if c == column else F.col(c) for c in target.columns])
+
+
+@dataclass(frozen=True)
+class FileUpdate:
+    """``version``: the published new version; ``conflicts`` as in ``UpdateResult``; ``rewritten``: the old version's files that it replaces."""
+
+    version: Version
+    conflicts: DataFrame
+    rewritten: tuple[str, ...]
+
+
+def keyed_update_files(
+    old: Version, source: DataFrame, on: dict[str, str], column: str, value: str, transform=None
+) -> FileUpdate:
+    """``keyed_update`` on a stored table: only files that hold a row whose value changes are written anew.
+
+    The keys and the column are read, with the file each row is in, and meet the offered values; of the table's other columns, those of files with a
+    change are read and no others. The rewritten files hold ranges of the keys again. The new version is published in one step if as many rows
+    were written as read, and raises ``Conflict`` if another was published meanwhile. Without any change the old version stays current.
+    """
+    spark = source.sparkSession
+    reduced = stage(one_value_per_key(source, list(on.values()), value), "offered-values")
     conflicts = reduced.filter("choices > 1").withColumnRenamed("_new", value)
-    return UpdateResult(table, conflicts)
+    target = old.read(spark)
+    chosen = _chosen(reduced, target, on, column, transform)
+    placed = target.select(*on, column, F.col("_metadata.file_path").alias("_file")) if old.files else None
+    if placed is None:
+        return FileUpdate(old, conflicts, ())
+    changes = placed.join(chosen, _same_key(on)).filter(~F.col(column).eqNullSafe(F.col("_new"))).select("_file").distinct()
+    rewritten = tuple(sorted(file_name(r["_file"]) for r in changes.collect()))  # names of files of this table
+    if not rewritten:
+        return FileUpdate(old, conflicts, ())
+    before = old.read(spark, rewritten)
+    written = write_files(_updated(before, chosen, on, column), old.root, list(on))
+    files = tuple(sorted({*old.files} - {*rewritten})) + written
+    new = Version(old.root, old.number + 1, old.schema, files)
+    if (n := before.count()) != (m := new.read(spark, written).count()):
+        raise ValueError(f"{old.root}: {n} rows became {m}")
+    return FileUpdate(publish_files(spark, old.root, new.number, new.schema, files), conflicts, rewritten)

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from recordkit.operators.grades import DECIMAL, UNMAPPED_POINTS, first_rule, scale_points
-from recordkit.operators.updates import keyed_update
+from recordkit.operators.updates import FileUpdate, keyed_update, keyed_update_files
 from recordkit.sources.tables import new_folder, stage, write_version
+from recordkit.sources.versions import Version
 
 # Scale titles before and after, the below-level title, the points of an A per
 # scale, and the letters that earn no points.
@@ -19,6 +20,9 @@ NEW_TITLES = {
     "Weight 4 On Level": "Weight 5 On Level",
 }
 BELOW_LEVEL = "Weight 4 Below Level"
+# Columns of a course that tell its row, and their names in the staged table.
+_SAME = ("student_id", "syear", "course_num", "course_title", "marking_period_id", "report_card_grade_id")
+GRADE_KEYS = {**{c: c for c in _SAME}, "custom_7": "grade"}
 SCALES = {"Weight 7 AP DE IB": 7, "Weight 6 Honors & Advanced": 6, "Weight 5 On Level": 5, BELOW_LEVEL: 4}
 ZERO_LETTERS = ("F", "P", "T", "I", "W", "WP")
 
@@ -96,15 +100,7 @@ def scale_update(sis: Mapping[str, DataFrame], run: ScaleRun = ScaleRun(), folde
 
     points = target_points(_graded_courses(grades, new_scales, periods, run), run)
     points = stage(points, "course_history_weighted_gpa_points_update", folder)
-    same = ("student_id", "syear", "course_num", "course_title", "marking_period_id", "report_card_grade_id")
-    grade_change = keyed_update(
-        grades,
-        points,
-        {**{c: c for c in same}, "custom_7": "grade"},
-        "weighted_gpa_points",
-        "updated_weighted_gpa_points",
-        lambda c: c.cast(DECIMAL),
-    )
+    grade_change = keyed_update(grades, points, GRADE_KEYS, "weighted_gpa_points", "updated_weighted_gpa_points", lambda c: c.cast(DECIMAL))
     new_grades = write_version(grade_change.table, grades, folder, "student_report_card_grades")
     return ScaleUpdate(
         titles,
@@ -115,3 +111,15 @@ def scale_update(sis: Mapping[str, DataFrame], run: ScaleRun = ScaleRun(), folde
         grade_change.conflicts,
         points.filter(F.col("updated_weighted_gpa_points") == UNMAPPED_POINTS),
     )
+
+
+def publish_scale_update(scales: Version, grades: Version, periods: DataFrame, run: ScaleRun = ScaleRun()) -> tuple[FileUpdate, FileUpdate]:
+    """The same four steps on stored tables: only files with a changed row are written anew, and each new version is published in one step.
+
+    The scales are published before the points are chosen, as the second staged table reads the new titles.
+    """
+    spark = periods.sparkSession
+    titles = stage(target_titles(_graded_courses(grades.read(spark), scales.read(spark), periods, run), run), "course_history_update")
+    new_scales = keyed_update_files(scales, titles.filter(F.col("grade").isin(*run.grades)), {"id": "grade_scale_id"}, "title", "seven_scale_value")
+    points = stage(target_points(_graded_courses(grades.read(spark), new_scales.version.read(spark), periods, run), run), "course_history_weighted_gpa_points_update")
+    return new_scales, keyed_update_files(grades, points, GRADE_KEYS, "weighted_gpa_points", "updated_weighted_gpa_points", lambda c: c.cast(DECIMAL))

@@ -11,10 +11,12 @@ from recordkit.operators.uploads import rejects
 from recordkit.plans.answer_sheet import answer_rows
 from recordkit.plans.gpa_audit import AuditRun, gpa_audit
 from recordkit.plans.reconciliation import ReconciliationRun, reconciliation
-from recordkit.plans.scale_update import scale_update
+from recordkit.plans.scale_update import publish_scale_update, scale_update
 from recordkit.plans.student_extract import ExtractRun, student_extract
-from recordkit.queries.registry import query
+from recordkit.queries.registry import SQL, query
 from recordkit.queries.sis import model, model_sql
+from recordkit.sources.tables import new_folder
+from recordkit.sources.versions import create_version, version
 
 REPORT_WEEK = Week(dt.date(2024, 1, 29))
 
@@ -186,6 +188,26 @@ def _conflicts(spark: SparkSession, folder: str) -> DataFrame:
     return scale_update(model(spark, folder)).scale_conflicts
 
 
+def _published(spark: SparkSession, folder: str) -> str:
+    """Store the model's scales and grades, run the scale update on them, and give the folder of both tables."""
+    sis, root = model(spark, folder), new_folder(spark, "published")
+    scales = create_version(sis["report_card_grade_scales"], f"{root}/scales")
+    grades = create_version(sis["student_report_card_grades"], f"{root}/grades", by=["syear", "student_id"])
+    publish_scale_update(scales, grades, sis["marking_periods"])
+    return root
+
+
+@query("published_scales", COURSES_SQL + "SELECT id, title FROM scales")
+def _published_scales(spark: SparkSession, folder: str) -> DataFrame:
+    return version(spark, f"{_published(spark, folder)}/scales").read(spark)
+
+
+@query("published_grades", SQL["scale_update_grades"])
+def _published_grades(spark: SparkSession, folder: str) -> DataFrame:
+    grades = version(spark, f"{_published(spark, folder)}/grades").read(spark)
+    return grades.select(*GRADE_KEY.split(", "), "weighted_gpa_points")
+
+
 # ---------------------------------------------------------------- GPA audit
 
 GPA_SQL = f"""

@@ -18,13 +18,14 @@ from recordkit.operators.measures import ScoreKind, attendance_rate, distinct_ev
 from recordkit.operators.ranking import rank_in_group
 from recordkit.operators.reshape import unpivot_scores
 from recordkit.operators.tickets import Week, calendar, channel_counts, count_where
-from recordkit.operators.updates import keyed_update
+from recordkit.operators.updates import keyed_update, keyed_update_files
 from recordkit.operators.windows import AssessmentWindow, course_member, school_member
 from recordkit.queries.registry import query
 from recordkit.queries.sis import model, model_sql
 from recordkit.queries.tables import MONEY, Tables
 from recordkit.sources.params import optional_equals, value_or_all
 from recordkit.sources.tables import new_folder, read_upload, repeated_keys, stage
+from recordkit.sources.versions import create_version, version
 
 SPANS = """
 WITH spans AS (
@@ -552,6 +553,24 @@ def _keyed_update_fact(spark: SparkSession, folder: str) -> DataFrame:
     return keyed_update(target, source, {"l_orderkey": "k", "l_linenumber": "n"}, "l_tax", "new_tax", lambda c: c.cast("decimal(18,4)")).table
 
 
+@query(
+    "keyed_update_files",
+    """WITH offered AS (SELECT l_orderkey AS k, l_linenumber AS n, floor(l_quantity)::INTEGER::VARCHAR AS v, count(*) AS c FROM lineitem
+        WHERE l_returnflag = 'R' AND l_orderkey <= (SELECT max(l_orderkey) // 4 FROM lineitem) GROUP BY ALL),
+    best AS (SELECT k, n, first(v ORDER BY c DESC, v) AS v FROM offered GROUP BY k, n)
+    SELECT l_orderkey, l_linenumber, l_partkey, coalesce(v::DOUBLE, l_tax) AS l_tax FROM lineitem LEFT JOIN best ON k = l_orderkey AND n = l_linenumber""",
+)
+def _keyed_update_files(spark: SparkSession, folder: str) -> DataFrame:
+    lines = Tables(spark, folder).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_tax", "l_quantity", "l_returnflag")
+    edge = lines.agg(F.max("l_orderkey")).first()[0] // 4
+    source = lines.filter((F.col("l_returnflag") == "R") & (F.col("l_orderkey") <= edge)).select(
+        F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.floor("l_quantity").cast("string").alias("new_tax")
+    )
+    old = create_version(lines.drop("l_quantity", "l_returnflag"), new_folder(spark, "lines"), by=["l_orderkey"])
+    update = keyed_update_files(old, source, {"l_orderkey": "k", "l_linenumber": "n"}, "l_tax", "new_tax", lambda c: c.cast("decimal(18,4)"))
+    return version(spark, update.version.root).read(spark)
+
+
 # ---------------------------------------------------------------- weeks and tickets
 
 STEP_WEEK = Week(dt.date(2024, 1, 29))
