@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordkit.functions.rules import change_flag
 from recordkit.functions.text import join_text
+from recordkit.operators.updates import merge_files
+from recordkit.sources.versions import Version, create_version, version
 
 
 def packed_code(
@@ -56,18 +59,53 @@ def last_change_dates(
     different keys first, because a semi join cannot split a hot key of its right side. Keys
     without any matching change have no row.
     """
-    matches = {name: F.col("after").like(pattern) for name, pattern in patterns.items()}
-    any_match = None
-    for match in matches.values():
-        any_match = match if any_match is None else any_match | match
-    day = F.col("log_time").cast("date")
     # Compared as a point in time, not as a day, so that the condition reaches the scan.
-    wanted = log.filter((F.col("action") == "UPDATE") & (F.col("log_time") >= F.lit(since).cast("date")) & any_match)
-    wanted = wanted.join(editors.select("user_id").distinct(), "user_id", "left_semi")
-    latest = wanted.groupBy(key).agg(*[F.max(F.when(m, day)).alias(name) for name, m in matches.items()])
+    latest = _newest_changes(log.filter(F.col("log_time") >= F.lit(since).cast("date")), key, patterns, editors)
     return latest if subjects is None else latest.join(subjects.select(key).distinct(), key, "left_semi")
 
 
+def _newest_changes(log: DataFrame, key: str, patterns: dict[str, str], editors: DataFrame) -> DataFrame:
+    matches = {name: F.col("after").like(pattern) for name, pattern in patterns.items()}
+    wanted = log.filter((F.col("action") == "UPDATE") & reduce(lambda a, b: a | b, matches.values()))
+    wanted = wanted.join(editors.select("user_id").distinct(), "user_id", "left_semi")
+    day = F.col("log_time").cast("date")
+    return wanted.groupBy(key).agg(*[F.max(F.when(m, day)).alias(name) for name, m in matches.items()])
+
+
+def merge_change_dates(
+    root: str, log: DataFrame, key: str, patterns: dict[str, str], until: dt.datetime, editors: DataFrame, late: dt.timedelta = dt.timedelta(0)
+) -> Version:
+    """Bring the stored newest change per key and item below ``root`` up to ``until`` (exclusive), and give its new version.
+
+    The stored table has one row per key; its version notes up to where the log has been read, and only log rows from
+    there on are read now (a range that reaches the scan). Their newest dates are maxima, so a log row that is read twice changes nothing:
+    ``late`` reads that much again for rows that come late, and a run that fails before its version is published is repeated whole. Files of
+    the stored table without a changed key stay. An editor counts if known when the row is read. Patterns are those of the first run.
+    """
+    spark = log.sparkSession
+    end = F.col("log_time") < F.lit(until.isoformat(" ")).cast(log.schema["log_time"].dataType)
+    try:
+        old = version(spark, root)
+    except FileNotFoundError:
+        return create_version(_newest_changes(log.filter(end), key, patterns, editors), root, by=[key], note=until.isoformat())
+    if old.schema.names != [key, *patterns]:
+        raise ValueError(f"{root} holds other items: {old.schema.names}")
+    read_to = dt.datetime.fromisoformat(old.note)
+    if until <= read_to:
+        return old
+    begin = F.col("log_time") >= F.lit((read_to - late).isoformat(" ")).cast(log.schema["log_time"].dataType)
+    newest = _newest_changes(log.filter(begin & end), key, patterns, editors)
+    return merge_files(old, newest, [key], {name: F.greatest for name in patterns}, note=until.isoformat())
+
+
+def stored_change_dates(state: Version, key: str, since: dt.date, subjects: DataFrame) -> DataFrame:
+    """``last_change_dates`` since a day, from the stored newest changes; the log is not read."""
+    day = F.lit(since).cast("date")
+    items = [c for c in state.schema.names if c != key]
+    dates = state.read(subjects.sparkSession).select(key, *[F.when(F.col(c) >= day, F.col(c)).alias(c) for c in items])
+    return dates.filter(F.coalesce(*items).isNotNull()).join(subjects.select(key).distinct(), key, "left_semi")
+
+
 @dataclass(frozen=True)
 class ColumnPair:
     """A compared item: the shown values and, where they differ from these, the compared ones."""

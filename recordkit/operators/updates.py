@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -99,4 +100,31 @@ def keyed_update_files(
     new = Version(old.root, old.number + 1, old.schema, files)
     if (n := before.count()) != (m := new.read(spark, written).count()):
         raise ValueError(f"{old.root}: {n} rows became {m}")
-    return FileUpdate(publish_files(spark, old.root, new.number, new.schema, files), conflicts, rewritten)
+    return FileUpdate(publish_files(spark, old.root, new.number, new.schema, files, old.note), conflicts, rewritten)
+
+
+def merge_files(old: Version, offered: DataFrame, key: list[str], combine: dict[str, Callable[[Column, Column], Column]], note: str = "") -> Version:
+    """Publish a stored table with ``offered`` rows merged in: a known key's columns become ``combine`` of their old and offered value, a new key's row is added.
+
+    Both have one row per key (NULL is a key) and the same columns. Only files that hold a row that changes are written anew, with
+    the new rows, in ranges of the key; the version carries ``note``. Raises ``Conflict`` if another version was published meanwhile.
+    """
+    spark = offered.sparkSession
+    offered = stage(offered.select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in old.schema.names]), "offered-rows")
+    side = offered.select(*[F.col(c).alias(f"_new_{c}") for c in offered.columns], F.lit(True).alias("_offered"))
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in key])
+    merged = {c: F.when(F.col("_offered"), f(F.col(c), F.col(f"_new_{c}"))).otherwise(F.col(c)) for c, f in combine.items()}
+    fresh, rewritten = offered, ()
+    if old.files:
+        known = old.read(spark).select(*key, *combine, F.col("_metadata.file_path").alias("_file")).join(side, condition)
+        differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(m) for c, m in merged.items()])
+        rewritten = tuple(sorted(file_name(r["_file"]) for r in known.filter(differs).select("_file").distinct().collect()))
+        fresh = stage(offered.join(old.read(spark).select(*[F.col(k).alias(f"_old_{k}") for k in key]), reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in key]), "left_anti"), "new-rows")
+    before = old.read(spark, rewritten)
+    changed = before.join(side, condition, "left").select(*[merged[c].alias(c) if c in merged else F.col(c) for c in before.columns])
+    rows = before.count() + fresh.count()
+    written = write_files(changed.unionByName(fresh), old.root, key) if rows else ()
+    files = tuple(sorted({*old.files} - {*rewritten})) + written
+    if (n := Version(old.root, 0, old.schema, written).read(spark).count()) != rows:
+        raise ValueError(f"{old.root}: {rows} rows became {n}")
+    return publish_files(spark, old.root, old.number + 1, old.schema, files, note)

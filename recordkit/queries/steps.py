@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from recordkit.functions.rules import any_flag, band_level, derived_yes_no, flag, growth, masked_id, percent
 from recordkit.functions.text import date_text, full_name, join_text, month_year_to_date, pad_zeros, school_year_code, without, word_capitals
 from recordkit.functions.weeks import week_over_week_text, with_duration_text
-from recordkit.operators.changes import ColumnPair, compare_columns, last_change_dates, packed_code, where_changed
+from recordkit.operators.changes import ColumnPair, compare_columns, last_change_dates, merge_change_dates, packed_code, stored_change_dates, where_changed
 from recordkit.operators.grades import credit_totals, enrolled_at_period_end, first_rule, gpa, quality_points, scale_points
 from recordkit.operators.joins import left_fan, left_join_where, renamed
 from recordkit.operators.keys import active_or_latest, first_row_flags, latest_per_key
@@ -339,8 +339,11 @@ dates AS (SELECT user_id, max(ts) FILTER (WHERE props LIKE '%k_: 1%')::DATE AS l
 """
 
 
-def _changes(t: Tables) -> DataFrame:
-    """Events as an audit log; views and signups are no updates."""
+_CHANGE_PATTERNS = {"low": "%k_: 1%", "seven": "%7}"}
+
+
+def _change_log(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Events as an audit log (views and signups are no updates), and its editors."""
     log = t.events.select(
         F.col("user_id").alias("c_custkey"),
         (F.col("user_id") % 100).alias("user_id"),
@@ -348,9 +351,12 @@ def _changes(t: Tables) -> DataFrame:
         F.col("props").alias("after"),
         F.col("ts").alias("log_time"),
     )
-    patterns = {"low": "%k_: 1%", "seven": "%7}"}
-    editors = t.supplier.select(F.col("s_suppkey").alias("user_id"))
-    return last_change_dates(log, "c_custkey", patterns, dt.date(2024, 1, 10), editors, t.customer)
+    return log, t.supplier.select(F.col("s_suppkey").alias("user_id"))
+
+
+def _changes(t: Tables) -> DataFrame:
+    log, editors = _change_log(t)
+    return last_change_dates(log, "c_custkey", _CHANGE_PATTERNS, dt.date(2024, 1, 10), editors, t.customer)
 
 
 @query(
@@ -363,6 +369,22 @@ def _last_change_date(spark: SparkSession, folder: str) -> DataFrame:
     return _changes(Tables(spark, folder)).select("c_custkey", date_text("low").alias("low"), date_text("seven").alias("seven"))
 
 
+@query(
+    "last_change_date_merged",
+    "WITH none AS (SELECT 1)"
+    + _CHANGES
+    + "SELECT user_id AS c_custkey, strftime(low, '%Y%m%d') AS low, strftime(seven, '%Y%m%d') AS seven FROM dates WHERE user_id IN (SELECT c_custkey FROM customer)",
+)
+def _last_change_date_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The state after three runs, each of which reads its part of the log, is that of one pass over all of it."""
+    t = Tables(spark, folder)
+    (log, editors), root = _change_log(t), new_folder(spark, "change-dates")
+    for until in (dt.datetime(2024, 1, 14), dt.datetime(2024, 1, 22, 12), dt.datetime(2100, 1, 1)):
+        state = merge_change_dates(root, log, "c_custkey", _CHANGE_PATTERNS, until, editors, late=dt.timedelta(hours=1))
+    dates = stored_change_dates(state, "c_custkey", dt.date(2024, 1, 10), t.customer)
+    return dates.select("c_custkey", date_text("low").alias("low"), date_text("seven").alias("seven"))
+
+
 _COMPARED = """
 WITH altered AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 'OTHER' ELSE c_mktsegment END AS segment,
     (c_nationkey + (c_custkey % 4 = 0)::INTEGER)::VARCHAR AS nation, CASE WHEN c_custkey % 7 = 0 THEN '0' ELSE 'Z' END AS code FROM customer),

@@ -5,7 +5,9 @@ import pytest
 from helpers import by_key, rows
 from pyspark.sql import functions as F
 
-from recordkit.operators.changes import ColumnPair, compare_columns, last_change_dates, packed_code, where_changed
+from recordkit.operators.changes import ColumnPair, compare_columns, last_change_dates, merge_change_dates, packed_code, stored_change_dates, where_changed
+from recordkit.operators.updates import merge_files
+from recordkit.sources.versions import Version, create_version, version
 
 
 @pytest.mark.parametrize("n", [1, 8])
@@ -66,3 +68,75 @@ def test_compare_columns(spark):
         (None, "b", None, None, "x", "Y", None),
         ("q", "z", "Y", "y", "x", None, "20220301"),
     ]
+
+
+def test_merged_change_dates_match_one_pass(spark, tmp_path, partitions):
+    partitions(4)
+    pick = random.Random(8)
+    start = dt.datetime(2022, 3, 1)
+    texts = ["CUSTOM_821=1", "GRADE_ID=2", "CUSTOM_821,GRADE_ID", "OTHER", None]
+    log = [
+        (0 if pick.random() < 0.34 else pick.choice([None, *range(1, 60)]), pick.choice([10, 99]), pick.choice(["UPDATE", "INSERT"]), pick.choice(texts), start + dt.timedelta(minutes=37 * i))
+        for i in range(1_500)
+    ]
+    frame = spark.createDataFrame(log, "k int, user_id int, action string, after string, log_time timestamp").repartition(6)
+    editors, subjects = spark.createDataFrame([(10,)], "user_id int"), spark.range(50).select(F.col("id").cast("int").alias("k"))
+    patterns, root = {"district": "%CUSTOM_821%", "grade": "%GRADE_ID%"}, str(tmp_path / "state")
+    for until in (start + dt.timedelta(days=d) for d in (3, 3, 20, 21, 21.5, 2, 90)):
+        state = merge_change_dates(root, frame, "k", patterns, until, editors)
+        assert state == version(spark, root)
+    assert state.number == 5  # nothing is read twice
+    for since in (dt.date(2022, 1, 1), dt.date(2022, 3, 22), dt.date(2022, 4, 7)):
+        want = last_change_dates(frame, "k", patterns, since, editors, subjects)
+        assert sorted(rows(stored_change_dates(state, "k", since, subjects))) == sorted(rows(want))
+    with pytest.raises(ValueError, match="other items"):
+        merge_change_dates(root, frame, "k", {"district": "%"}, dt.datetime(2023, 1, 1), editors)
+
+
+def test_late_log_rows_are_read_again(spark, tmp_path):
+    def log(*rows_):
+        return spark.createDataFrame(list(rows_), "k int, user_id int, action string, after string, log_time timestamp")
+
+    first, second = (1, 10, "UPDATE", "X", dt.datetime(2022, 3, 1)), (1, 10, "UPDATE", "X", dt.datetime(2022, 3, 2, 23))
+    editors, root = spark.createDataFrame([(10,)], "user_id int"), str(tmp_path / "state")
+    merge_change_dates(root, log(first), "k", {"x": "%X%"}, dt.datetime(2022, 3, 3), editors)
+    arguments = ("k", {"x": "%X%"})
+    assert rows(merge_change_dates(root, log(first, second), *arguments, dt.datetime(2022, 3, 4), editors).read(spark)) == [(1, dt.date(2022, 3, 1))]
+    state = merge_change_dates(root, log(first, second), *arguments, dt.datetime(2022, 3, 5), editors, late=dt.timedelta(days=2))
+    assert rows(state.read(spark)) == [(1, dt.date(2022, 3, 2))]
+
+
+def test_only_the_new_part_of_the_log_is_read(spark, tmp_path):
+    path, root = str(tmp_path / "log"), str(tmp_path / "state")
+    spark.createDataFrame([(1, 10, "UPDATE", "X", dt.datetime(2022, 3, 1))], "k int, user_id int, action string, after string, log_time timestamp").write.parquet(path)
+    editors = spark.createDataFrame([(10,)], "user_id int")
+    merge_change_dates(root, spark.read.parquet(path), "k", {"x": "%X%"}, dt.datetime(2022, 3, 3), editors)
+    held = {}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+
+    def remember(old, offered, *rest, **more):
+        held["plan"] = offered._jdf.queryExecution().executedPlan().toString()
+        return old
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("recordkit.operators.changes.merge_files", remember)
+        merge_change_dates(root, spark.read.parquet(path), "k", {"x": "%X%"}, dt.datetime(2022, 3, 9), editors)
+    assert "GreaterThanOrEqual(log_time,2022-03-03" in held["plan"] and "LessThan(log_time,2022-03-09" in held["plan"]
+
+
+def test_merged_files_without_a_change_stay(spark, tmp_path, partitions):
+    partitions(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        old = create_version(spark.range(800).select("id", (F.col("id") % 7).alias("v")), str(tmp_path / "t"), by=["id"])
+        offered = spark.createDataFrame([(5, 100), (790, 0), (900, 3), (None, 1)], "id long, v long")
+        new = merge_files(old, offered, ["id"], {"v": F.greatest}, note="read")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(set(old.files) - set(new.files)) == 1 and new.note == version(spark, old.root).note == "read"
+    want = {**{i: i % 7 for i in range(800)}, 5: 100, 900: 3, None: 1}
+    assert {r["id"]: r["v"] for r in new.read(spark).collect()} == want
+    again = merge_files(new, spark.createDataFrame([(None, 9)], "id long, v long"), ["id"], {"v": F.greatest})
+    assert {r["id"]: r["v"] for r in again.read(spark).collect()} == {**want, None: 9}
+    empty = Version(str(tmp_path / "e"), 0, old.schema, ())
+    assert rows(merge_files(empty, offered.limit(0), ["id"], {"v": F.greatest}).read(spark)) == []
