@@ -133,20 +133,92 @@ def mean_duration(
     return shown.select(*groups, "resolution_time")
 
 
+@dataclass(frozen=True)
+class TicketColumns:
+    """Names of the fact's columns that the measures read; ``counted`` is the ticket number that is looked at where ``ticket`` has any."""
+
+    day: str = "day"
+    resolution: str = "resolution"
+    seconds: str = "seconds"
+    ticket: str = "ticket_idx"
+    counted: str = "ticket_idx"
+    app_value: str = "app_value"
+    value: str = "value"
+    channel: str = "channel"
+    call_type: str = "call_type"
+
+
+def _channel_conditions(channel: str, call_type: str) -> dict[str, Column]:
+    name, call = F.col(channel), F.col(call_type)
+    voice = name == VOICE_CHANNEL
+    return {
+        "App": name.isin(*APP_CHANNELS),
+        "Text Message": name == TEXT_CHANNEL,
+        "Email": name == MAIL_CHANNEL,
+        "Incoming Calls": voice & call.isin(*INCOMING_CALLS),
+        "Outgoing Calls": voice & (call == OUTGOING_CALL),
+    }
+
+
+def daily_partials(fact: DataFrame, ids: list[str], c: TicketColumns = TicketColumns()) -> DataFrame:
+    """Sums and counts per day and ids, from which all measures of any weeks and any of the ids add up. A stored table of them can take new days in
+    place of reading the fact again."""
+    counts = {"own": c.ticket, "other": c.counted, "resolution_n": c.resolution, "seconds_n": c.seconds}
+    sums = {"resolution_sum": c.resolution, "seconds_sum": c.seconds}
+    channels = {n: count_where(F.col(c.app_value if n == "App" else c.value), k) for n, k in _channel_conditions(c.channel, c.call_type).items()}
+    return fact.groupBy(F.col(c.day).cast("date").alias("day"), *ids).agg(
+        *[F.sum(v).alias(n) for n, v in sums.items()], *[F.count(v).alias(n) for n, v in counts.items()], *[v.alias(n) for n, v in channels.items()]
+    )
+
+
+def measures_in_contexts(partials: DataFrame, contexts: list[list[str]], week: Weeks, strict_blank: bool = False, exact: bool = False) -> DataFrame:
+    """The week-over-week sentence, last week's mean duration as text and last week's tickets per channel for each group of each context.
+
+    ``contexts`` lists the ids that each groups by, none for the total; a group's row names its context and has NULL for other ids. All of them
+    come from one pass over ``daily_partials`` by grouping sets, and thus from one scan of the fact. Weeks meet the partials, which are
+    fewer than the fact's rows. Groups without tickets in these weeks have their row too; a fact without rows has none, nor a total.
+    """
+    ids = list(dict.fromkeys(i for context in contexts for i in context))
+    rows = week.attach(partials, "day")
+    channels = list(_channel_conditions("day", "day"))
+
+    def total(name: str, offset: int) -> Column:
+        return F.sum(F.when(F.col("_offset") == offset, F.col(f"`{name}`")))
+
+    def mean(name: str, offset: int) -> Column:
+        return F.try_divide(total(f"{name}_sum", offset).cast("double"), total(f"{name}_n", offset))
+
+    sets = [[F.col(i) for i in context] for context in contexts]
+    found = rows.groupingSets(sets, *ids).agg(
+        F.grouping_id(*ids).alias("_set"),
+        mean("resolution", -1).alias("_last"),
+        mean("resolution", -2).alias("_prior"),
+        mean("seconds", -1).alias("_mean"),
+        *[F.coalesce(total(n, -1), F.lit(0)).alias(f"_{n}") for n in ("own", "other")],
+        *[F.coalesce(total(n, -1), F.lit(0)).alias(n) for n in channels],
+    )
+    # The n-th id from the right sets the n-th bit where a context leaves it out.
+    names = {sum(1 << (len(ids) - 1 - n) for n, i in enumerate(ids) if i not in context): "+".join(context) or "total" for context in contexts}
+    tickets = F.when(F.col("_own") == 0, 0).otherwise(F.col("_other"))
+    shown = with_duration_text(found.withColumn("_tickets", tickets), "_mean", "_tickets", "resolution_time", exact)
+    context = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col("_set").cast("int"))
+    return shown.select(
+        context.alias("context"),
+        *ids,
+        week_over_week_text(F.col("_last"), F.col("_prior"), strict_blank).alias("message"),
+        "resolution_time",
+        sum((F.col(f"`{n}`") for n in channels), F.lit(0).cast("bigint")).alias("All"),
+        *[F.col(f"`{n}`") for n in channels],
+    )
+
+
 def channel_counts(
     fact: DataFrame, first_id: str, second_id: str, day: str, week: Weeks, app_value: str, value: str, channel: str, call_type: str
 ) -> DataFrame:
     """Tickets of last week per channel for every pair of ids, zeros included."""
     last_week = F.col("_offset") == -1
-    name, call = F.col(channel), F.col(call_type)
-    voice = last_week & (name == VOICE_CHANNEL)
-    counts = {
-        "App": count_where(F.col(app_value), last_week & name.isin(*APP_CHANNELS)),
-        "Text Message": count_where(F.col(value), last_week & (name == TEXT_CHANNEL)),
-        "Email": count_where(F.col(value), last_week & (name == MAIL_CHANNEL)),
-        "Incoming Calls": count_where(F.col(value), voice & call.isin(*INCOMING_CALLS)),
-        "Outgoing Calls": count_where(F.col(value), voice & (call == OUTGOING_CALL)),
-    }
+    conditions = _channel_conditions(channel, call_type)
+    counts = {n: count_where(F.col(app_value if n == "App" else value), last_week & k) for n, k in conditions.items()}
     grouped = week.attach(fact, day).groupBy(first_id, second_id).agg(*[c.alias(n) for n, c in counts.items()])
     total = sum((F.col(f"`{n}`") for n in counts), F.lit(0).cast("bigint"))
     second = F.col(second_id).cast("string")

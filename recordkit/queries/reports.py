@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordkit.operators.tickets import GivenWeeks, Week, channel_counts, mean_duration, related, week_over_week
+from recordkit.operators.tickets import GivenWeeks, TicketColumns, Week, channel_counts, daily_partials, mean_duration, measures_in_contexts, related, week_over_week
 from recordkit.operators.uploads import rejects
 from recordkit.plans.answer_sheet import answer_rows
 from recordkit.plans.gpa_audit import AuditRun, gpa_audit
@@ -509,6 +509,29 @@ def _ticket_channels(spark: SparkSession, folder: str) -> DataFrame:
     return channel_counts(model(spark, folder)["tickets"], "id1", "id2", "day", REPORT_WEEK, "app_value", "value", "channel", "call_type")
 
 
+def _context_sql(*ids: str) -> str:
+    held = [f"{i if i in ids else 'CAST(NULL AS VARCHAR)'} AS {i}" for i in ("id1", "id2")]
+    channels = {
+        "App": "count(app_value) FILTER (WHERE week_offset = -1 AND channel IN ('Online', 'Application'))",
+        "Text Message": "count(value) FILTER (WHERE week_offset = -1 AND channel = 'Text')",
+        "Email": "count(value) FILTER (WHERE week_offset = -1 AND channel = 'Electronic Mail')",
+        "Incoming Calls": "count(value) FILTER (WHERE week_offset = -1 AND channel = 'Voice' AND call_type NOT IN ('Outbound', 'Abandoned'))",
+        "Outgoing Calls": "count(value) FILTER (WHERE week_offset = -1 AND channel = 'Voice' AND call_type = 'Outbound')",
+    }
+    counted = ", ".join(f'{sql} AS "{name}"' for name, sql in channels.items())
+    return f"""(SELECT '{"+".join(ids) or "total"}' AS context, {", ".join(held)}, message, resolution_time,
+            "App" + "Text Message" + "Email" + "Incoming Calls" + "Outgoing Calls" AS "All", {", ".join(f'"{n}"' for n in channels)}
+        FROM ({_change_sql(", ".join(ids))}) a
+        {"JOIN" if ids else "CROSS JOIN"} ({_duration_sql(", ".join(ids))}) b {f"USING ({', '.join(ids)})" if ids else ""}
+        {"JOIN" if ids else "CROSS JOIN"} ({_TICKETS} SELECT {", ".join([*ids, counted])} FROM weeks {"GROUP BY " + ", ".join(ids) if ids else ""}) c {f"USING ({', '.join(ids)})" if ids else ""})"""
+
+
+@query("ticket_measures_in_contexts", " UNION ALL ".join(["SELECT * FROM " + _context_sql(), "SELECT * FROM " + _context_sql("id1"), "SELECT * FROM " + _context_sql("id1", "id2")]))
+def _ticket_measures_in_contexts(spark: SparkSession, folder: str) -> DataFrame:
+    partials = daily_partials(model(spark, folder)["tickets"], ["id1", "id2"], TicketColumns(counted="app_value"))
+    return measures_in_contexts(partials, [[], ["id1"], ["id1", "id2"]], REPORT_WEEK)
+
+
 def _related(spark: SparkSession, folder: str) -> tuple[DataFrame, GivenWeeks]:
     tickets = model(spark, folder)["tickets"]
     voice = tickets.filter("channel = 'Voice'").select("ticket_idx", "call_type")
