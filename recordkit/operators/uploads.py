@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.functions.rules import is_reject, uploaded_id
+from recordkit.sources.tables import Upload
 
 
 def bad_id(text: Column) -> Column:
@@ -24,6 +25,18 @@ def rejected_values(upload: DataFrame, name: str, ids: list[str], numbers: list[
     return counted.select(F.lit(name).alias("upload"), "column", "value", "rows")
 
 
+def rejected_rows(malformed: DataFrame, name: str) -> DataFrame:
+    """The same columns for whole rows with too few or too many fields (``whole_row``): ``column`` is NULL, ``value`` the row's text."""
+    counted = malformed.groupBy(F.col("whole_row").alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.select(F.lit(name).alias("upload"), F.lit(None).cast("string").alias("column"), "value", "rows")
+
+
+def upload_rejects(uploads: dict[str, tuple[Upload, list[str], list[str]]]) -> DataFrame:
+    """Values and whole rows of several uploads that cannot be read: name -> upload, id columns, number columns."""
+    values = rejects({name: (upload.rows, ids, numbers) for name, (upload, ids, numbers) in uploads.items()})
+    return reduce(DataFrame.unionByName, [rejected_rows(upload.malformed, name) for name, (upload, _, _) in uploads.items()], values)
+
+
 def rejects(uploads: dict[str, tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
     """``rejected_values`` of several uploads: name -> table, id columns, number columns."""
     return reduce(DataFrame.unionByName, [rejected_values(table, name, ids, numbers) for name, (table, ids, numbers) in uploads.items()])

@@ -19,12 +19,13 @@ from recordkit.operators.ranking import rank_in_group
 from recordkit.operators.reshape import unpivot_scores
 from recordkit.operators.tickets import Week, calendar, channel_counts, count_where
 from recordkit.operators.updates import keyed_update, keyed_update_files
+from recordkit.operators.uploads import upload_rejects
 from recordkit.operators.windows import AssessmentWindow, course_member, school_member
 from recordkit.queries.registry import query
 from recordkit.queries.sis import model, model_sql
 from recordkit.queries.tables import MONEY, Tables
 from recordkit.sources.params import optional_equals, value_or_all
-from recordkit.sources.tables import new_folder, read_upload, repeated_keys, stage
+from recordkit.sources.tables import Upload, new_folder, read_upload, read_upload_rows, repeated_keys, stage
 from recordkit.sources.versions import create_version, version
 
 SPANS = """
@@ -719,6 +720,52 @@ def _upload_as_text(spark: SparkSession, folder: str) -> DataFrame:
     return read_upload(spark, path, ["student_id", "_1", "_2"])
 
 
+_LINES = """WITH lines AS (
+    SELECT c_custkey::VARCHAR || CASE WHEN c_custkey % 7 = 0 THEN '' ELSE ',"' || c_mktsegment || ', ' || c_nationkey || '"' END
+        || CASE WHEN c_custkey % 13 = 0 THEN ',absent' ELSE ',' || c_nationkey END || CASE WHEN c_custkey % 11 = 0 THEN ',more' ELSE '' END AS line,
+        c_custkey, c_mktsegment, c_nationkey, (c_custkey % 7 = 0) <> (c_custkey % 11 = 0) AS malformed, c_custkey % 77 = 0 AS shifted, c_custkey % 13 = 0 AS absent FROM customer)
+"""
+
+
+def _uploaded_customers(spark: SparkSession, folder: str) -> Upload:
+    """Customers as lines of an upload: some lack a field, some have one more; both faults together make up a row of the right length."""
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    named = F.concat(F.lit(',"'), "c_mktsegment", F.lit(", "), nation, F.lit('"'))
+    line = F.concat(
+        key, F.when(F.col("c_custkey") % 7 == 0, "").otherwise(named), F.when(F.col("c_custkey") % 13 == 0, ",absent").otherwise(F.concat(F.lit(","), nation)),
+        F.when(F.col("c_custkey") % 11 == 0, ",more").otherwise(""),
+    )
+    path = new_folder(spark, "upload")
+    lines = Tables(spark, folder).customer.select(line.alias("line"))
+    header = F.lit("student_id,_1,_2").alias("line")
+    # A header for each file: lines are written by the task that has them, and each file begins with it.
+    sized = lines.withColumn("part", F.spark_partition_id())
+    heads = sized.select("part").distinct().select(header, "part", F.lit(0).alias("place"))
+    every = sized.select("line", "part", F.lit(1).alias("place")).unionByName(heads)
+    every.repartition("part").sortWithinPartitions("part", "place").select("line", "part").write.partitionBy("part").text(path)
+    return read_upload_rows(spark, f"{path}/part=*", ["student_id", "_1", "_2"])
+
+
+@query(
+    "upload_well_formed",
+    _LINES
+    + """SELECT c_custkey::VARCHAR AS student_id, CASE WHEN shifted THEN CASE WHEN absent THEN 'absent' ELSE c_nationkey::VARCHAR END ELSE c_mktsegment || ', ' || c_nationkey END AS _1,
+        CASE WHEN shifted THEN 'more' WHEN absent THEN 'absent' ELSE c_nationkey::VARCHAR END AS _2 FROM lines WHERE NOT malformed""",
+)
+def _upload_well_formed(spark: SparkSession, folder: str) -> DataFrame:
+    return _uploaded_customers(spark, folder).rows
+
+
+@query(
+    "upload_row_rejects",
+    _LINES
+    + """SELECT 'customers' AS upload, NULL::VARCHAR AS "column", line AS value, count(*) AS rows FROM lines WHERE malformed GROUP BY ALL
+    UNION ALL SELECT 'customers', '_2', CASE WHEN shifted THEN 'more' ELSE 'absent' END AS value, count(*) FROM lines WHERE NOT malformed AND (shifted OR absent) GROUP BY ALL""",
+)
+def _upload_row_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return upload_rejects({"customers": (_uploaded_customers(spark, folder), ["student_id"], ["_2"])})
+
+
 @query("repeated_keys", "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def _repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_keys(Tables(spark, folder).lineitem, "l_orderkey", "l_linenumber")

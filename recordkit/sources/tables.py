@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -28,6 +29,31 @@ def read_upload(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
     )
 
 
+# Holds the text of a row that an upload's columns cannot hold.
+WHOLE_ROW = "_whole_row"
+
+
+@dataclass(frozen=True)
+class Upload:
+    """``rows``: rows with as many fields as the header; ``malformed``: the text of all others, as ``whole_row``."""
+
+    rows: DataFrame
+    malformed: DataFrame
+
+
+def read_upload_rows(spark: SparkSession, path: str, columns: list[str]) -> Upload:
+    """``read_upload`` that sets rows with too few or too many fields, or with an open quote, apart instead of cutting or filling them.
+
+    The file is read once and stored: which rows are malformed shows only when all fields are read. Empty lines are no
+    rows. A field cannot hold a line break, since a quote that is open at the end of its line could take any number of lines with it.
+    """
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField(WHOLE_ROW, T.StringType())])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    read = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", WHOLE_ROW).csv(path)
+    stored = stage(read, "upload")
+    return Upload(stored.filter(F.col(WHOLE_ROW).isNull()).drop(WHOLE_ROW), stored.filter(F.col(WHOLE_ROW).isNotNull()).select(F.col(WHOLE_ROW).alias("whole_row")))
+
+
 def repeated_keys(df: DataFrame, *key: str) -> DataFrame:
     """Keys held by more than one row: such rows multiply in a later join."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

@@ -3,7 +3,8 @@ from helpers import bag, rows
 from pyspark.sql import functions as F
 
 from recordkit.sources.params import optional_equals, value_or_all
-from recordkit.sources.tables import new_folder, publish, read_table, read_upload, repeated_keys, replace_table, shared_folder, stage, write_version
+from recordkit.operators.uploads import upload_rejects
+from recordkit.sources.tables import new_folder, publish, read_table, read_upload, read_upload_rows, repeated_keys, replace_table, shared_folder, stage, write_version
 
 
 def test_uploads_are_text(spark, tmp_path):
@@ -103,3 +104,22 @@ def test_parameters(spark):
     assert kept(value_or_all(grade, ("10", "KG"), offered)) == ["10", "KG"]
     assert kept(optional_equals(F.col("school"), 2)) == ["10", "KG"]
     assert kept(optional_equals(F.col("school"), None)) == ["09", "10", "KG"]
+
+
+def test_rows_of_other_lengths_are_set_apart(spark, tmp_path):
+    lines = ["student_id,_1,_2", "1,a,b", "2,a", "3", "4,a,b,c", '5,"x, y",z', "", "6,,", '7,"open,b', "2,a", "8,a,b,c,d,e"]
+    path = tmp_path / "upload.csv"
+    path.write_text("\n".join(lines) + "\n")
+    upload = read_upload_rows(spark, str(path), ["student_id", "_1", "_2"])
+    assert sorted(upload.rows.collect()) == [("1", "a", "b"), ("5", "x, y", "z"), ("6", None, None)]
+    assert sorted(r[0] for r in upload.malformed.collect()) == ["2,a", "2,a", "3", "4,a,b,c", '7,"open,b', "8,a,b,c,d,e"]
+    got = {tuple(r) for r in upload_rejects({"u": (upload, ["student_id"], ["_2"])}).collect()}
+    assert ("u", None, "2,a", 2) in got and ("u", "_2", "b", 1) in got and ("u", "_2", "z", 1) in got
+    assert upload.rows.select("student_id").count() == 3  # also when columns are pruned
+
+
+def test_an_upload_of_no_rows(spark, tmp_path):
+    path = tmp_path / "upload.csv"
+    path.write_text("student_id,_1\n")
+    upload = read_upload_rows(spark, str(path), ["student_id", "_1"])
+    assert upload.rows.count() == upload.malformed.count() == 0
