@@ -1,8 +1,8 @@
 """Mixing to target weights with soft membership: a classifier learned from the labelled table gives each document a
 posterior over domains, and projected-gradient least squares fits document rates to the wanted token totals.
 
-The step of a rate depends on the document only through its posterior, so documents with equal posteriors keep equal
-rates. Posteriors lie on a grid of fixed size; tokens are summed per grid cell once, and each iteration sums over cells.
+A document's posterior depends on its classes of a few statistics only, and the step of a rate on the posterior, so documents of equal classes
+keep equal rates. Tokens are summed per vector of classes once, and each iteration sums over these cells; posteriors stay exact.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.sources.tables import stage
 
-# Posteriors are multiples of one in GRID.
-GRID = 100
 # Labelled texts, in expectation, from which a domain's words are drawn, and words per domain at most.
 SAMPLE, WORDS = 6_000, 200
 LEAST_TEXTS, LEAST_LIFT = 4, 3.0
@@ -105,7 +103,7 @@ def fit_classifier(docs: DataFrame, told: DataFrame, domains: list[str]) -> tupl
 
 
 def posterior(model: Classifier) -> Column:
-    """Units of one in ``GRID`` per domain, as an array that sums to ``GRID``; what rounding leaves goes to the likeliest."""
+    """Probabilities of the domains, as an array."""
     logs = []
     for k in range(len(model.domains)):
         terms = [F.array(*[F.lit(c[k]) for c in feature])[F.col(n)] for n, feature in zip(feature_names(model.domains), model.shares)]
@@ -113,21 +111,18 @@ def posterior(model: Classifier) -> Column:
     log = F.array(*logs)
     raised = F.transform(log, lambda x: F.exp(x - F.array_max(log)))
     total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    units = F.transform(raised, lambda x: F.floor(x / total * GRID).cast("int"))
-    given = F.aggregate(units, F.lit(0), lambda a, x: a + x)
-    likeliest = F.array_position(raised, F.array_max(raised)).cast("int") - 1
-    return F.transform(units, lambda x, i: F.when(i == likeliest, x + GRID - given).otherwise(x))
+    return F.transform(raised, lambda x: x / total)
 
 
 def rate(steps: list[list[float]], most: float | None, ahead: bool = False) -> Column:
-    """The rate after ``steps`` for the column ``units``, from one on; ``ahead``: the point at which the next residuals are
+    """The rate after ``steps`` for the column ``shares``, from one on; ``ahead``: the point at which the next residuals are
     taken. A step holds the weighted residual per domain, then how far to run on in the direction of the last step."""
     if not steps:
         return F.lit(1.0)
     k = len(steps[0]) - 1
 
     def step(now: Column, e: Column) -> Column:
-        down = sum((F.col("units")[i] / GRID * e[i] for i in range(1, k)), F.col("units")[0] / GRID * e[0])
+        down = sum((F.col("shares")[i] * e[i] for i in range(1, k)), F.col("shares")[0] * e[0])
         new = F.greatest(now["ahead"] - down, F.lit(0.0))
         new = new if most is None else F.least(new, F.lit(float(most)))
         return F.struct(new.alias("rate"), (new + e[k] * (new - now["rate"])).alias("ahead"))
@@ -137,7 +132,7 @@ def rate(steps: list[list[float]], most: float | None, ahead: bool = False) -> C
 
 
 def fit_rates(cells: DataFrame, domains: list[str], weights: dict[str, float], total: float | None, most: float | None, rounds: int, close: float, whole: str | None = None) -> list[list[float]]:
-    """Steps for ``rate``. ``cells``: ``units`` and ``n_tokens``, at most one row per grid cell.
+    """Steps for ``rate``. ``cells``: ``shares`` and ``n_tokens``, one row per vector of classes.
 
     Accelerated projected gradient on least squares over domains, each weighted by the inverse of its share of tokens:
     with that weight the gradient's largest eigenvalue is one, so a step of one descends. Ends when every total is
@@ -146,7 +141,7 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: dict[str, float], t
     """
 
     def totals(steps: list[list[float]]) -> tuple[list[float], list[float]]:
-        sums = [F.sum(rate(steps, most, ahead) * F.col("n_tokens") * F.col("units")[i] / GRID) for ahead in (False, True) for i in range(len(domains))]
+        sums = [F.sum(rate(steps, most, ahead) * F.col("n_tokens") * F.col("shares")[i]) for ahead in (False, True) for i in range(len(domains))]
         found = [float(x or 0) for x in cells.agg(*sums).first()]
         return found[: len(domains)], found[len(domains) :]
 
@@ -202,10 +197,12 @@ def mix(
     told = stage(told.groupBy("id").agg(F.min("domain").alias("domain")), "domain-labels")
     model, measured = fit_classifier(given, told, domains)
     # Written, so that no later filter takes the whole posterior into each step of a rate.
-    placed = stage(measured.select("id", "n_tokens", posterior(model).alias("units")), "domain-posteriors")
-    # At most one row per grid cell (5,151 for three domains), so one file holds them.
-    cells = stage(placed.groupBy("units").agg(F.sum("n_tokens").alias("n_tokens")).coalesce(1), "domain-cells")
+    placed = stage(measured.withColumn("shares", posterior(model)), "domain-posteriors")
+    # At most CLASSES to the power of the features, whatever the number of documents; far fewer occur.
+    names = feature_names(domains)
+    cells = measured.groupBy(*names).agg(F.sum("n_tokens").alias("n_tokens"))
+    cells = stage(cells.select("n_tokens", posterior(model).alias("shares")), "domain-cells")
     steps = fit_rates(cells, domains, weights, total, most, rounds, close, whole)
-    likeliest = F.array(*[F.lit(d) for d in domains])[F.array_position("units", F.array_max("units")).cast("int") - 1]
-    shown = [(F.col("units")[k] / GRID).alias(f"p_{d}") for k, d in enumerate(domains)]
+    likeliest = F.array(*[F.lit(d) for d in domains])[F.array_position("shares", F.array_max("shares")).cast("int") - 1]
+    shown = [F.col("shares")[k].alias(f"p_{d}") for k, d in enumerate(domains)]
     return placed.select(F.col("id").alias("doc_id"), "n_tokens", likeliest.alias("domain"), *shown, rate(steps, most).alias("rate"))

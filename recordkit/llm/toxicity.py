@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordkit.llm.common import held_out, map_rows
+from recordkit.sources.tables import stage
 
 # Texts in the training sample, in expectation: confirmed toxic ones, and ones of unknown kind.
 POSITIVE, UNLABELLED = 3_000, 12_000
@@ -25,8 +26,10 @@ CANDIDATES, FEATURES = 50_000, 4_096
 LEAST_TEXTS, LEAST_LIFT = 4, 3.0
 # Share of toxic texts assumed where the labels hold only one kind.
 SHARE = 0.1
-# Words whose features a task remembers; it forgets them when full.
-WORDS = 200_000
+# Different texts of one id in the sample, in expectation, where an id stands on very many rows.
+PER_ID = 16
+# Words whose features a task remembers, and the characters of such a word at most; it forgets them when full.
+WORDS, WORD_CHARS = 200_000, 64
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -67,6 +70,15 @@ def _drawn(column: Column, wanted: int, total: int) -> Column:
     return F.xxhash64(F.lit("draw"), column.cast("string")).cast("double") / 2.0**64 + 0.5 <= min(1.0, wanted / max(total, 1))
 
 
+def bounded(rows: DataFrame) -> DataFrame:
+    """Rows of drawn ids, written: equal rows once, and of an id on many rows about ``PER_ID``, so that no id fills the sample."""
+    once = stage(rows.dropDuplicates(["id", "text"]), "drawn-rows")
+    often = once.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > PER_ID)
+    place = F.xxhash64(F.lit("text"), "text").cast("double") / 2.0**64 + 0.5
+    kept = once.join(often, "id", "left").filter(F.col("rows").isNull() | (place * F.col("rows") <= PER_ID))
+    return stage(kept.select("id", "text"), "sample-rows")
+
+
 def risk_step(g_p: np.ndarray, g_u: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, float]:
     """Gradients of the non-negative risk for the scores of positive and unlabelled texts, and the risk, under sigmoid loss."""
     s_p, s_u = 1 / (1 + np.exp(-g_p)), 1 / (1 + np.exp(-g_u))  # loss as negative; as positive it is one minus this
@@ -99,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     """A model from rows that are not held out: texts labelled 1, and texts drawn from all rows whatever their label.
 
     The share of toxic texts is that of all labelled rows. Rows are drawn by a hash of their id, about ``POSITIVE`` and
-    ``UNLABELLED`` of them; the driver gets the numbers of their chosen features only. An id labelled twice counts as toxic
+    ``UNLABELLED`` of them (see ``bounded`` for an id on many rows); the driver gets the numbers of their chosen features only. An id labelled twice counts as toxic
     if one label says so. Without a toxic label the model is empty and scores every text 0.
     """
     told = labels.filter(F.col(label_column).isNotNull() & ~held_out(F.col(id_column))).groupBy(F.col(id_column).alias("id")).agg(F.max(label_column).alias("toxic"))
@@ -109,8 +121,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     share = seen["toxic"] / seen["n"] if seen["toxic"] < seen["n"] else SHARE
     open_rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter(~held_out(F.col("id")))
     ids = told.filter((F.col("toxic") == 1) & _drawn(F.col("id"), POSITIVE, seen["toxic"])).select("id")
-    positive = open_rows.join(F.broadcast(ids), "id", "left_semi")  # about POSITIVE ids
-    unlabelled = open_rows.filter(_drawn(F.col("id"), UNLABELLED, open_rows.select("id").count()))
+    positive = bounded(open_rows.join(F.broadcast(ids), "id", "left_semi"))  # about POSITIVE ids
+    unlabelled = bounded(open_rows.filter(_drawn(F.col("id"), UNLABELLED, open_rows.select("id").count())))
     often = map_rows(positive, ["text"], partial(_count, among=None), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     often = often.filter(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "feature").limit(CANDIDATES)
     in_positive = {r["feature"]: r["n"] for r in often.collect()}
@@ -138,7 +150,9 @@ def _score(rows: Iterator[tuple], model: Model) -> Iterator[tuple]:
         for word in set(LETTERS.findall((text or "").lower())):
             own = known.get(word)
             if own is None:
-                own = known[word] = tuple(s for s in starts(word) if s in weights)
+                own = tuple(s for s in starts(word) if s in weights)
+                if len(word) <= WORD_CHARS:
+                    known[word] = own
             if own:
                 found.update(own)
         total = model.bias + sum(weights[f] for f in sorted(found))

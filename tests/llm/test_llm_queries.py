@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from helpers import bag, by_key, rows
 from oracle import connect, differences
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -118,6 +119,34 @@ def test_mixing_stage_keeps_good_documents_where_poor_ones_are_scarce(spark, tmp
     assert sum(i % 200 != 7 for i in kept) > 0.97 * 1990
 
 
+def test_pipeline_judges_rows_without_an_id_by_their_text(spark, tmp_path):
+    import random
+
+    dice = random.Random(4)
+    words = ["".join(dice.choices("abcdefghij", k=5)) for _ in range(40)]
+    texts = [" ".join(dice.choices(words, k=80)) for _ in range(90)]
+    bad = [" ".join(dice.choices(words, k=70)) + " Grumpfig. Grumpfig" for _ in range(30)]
+    docs = [(i, t) for i, t in enumerate(texts[:60])] + [(200 + i, t) for i, t in enumerate(bad[:25])]
+    docs += [(None, t) for t in texts[60:80]] + [(None, t) for t in bad[25:]]  # clean and toxic texts without an id
+    docs += [(7, texts[80]), (7, texts[81]), (7, bad[0]), (None, texts[0]), (None, texts[60]), (None, None), (None, "")]
+    folder = str(tmp_path)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)] + [(200 + i, 1, 1) for i in range(25)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], schema).repartition(3)
+    clean = corpus_pipeline.drop_toxic(spark, frame, folder)
+    want = [(i, t) for i, t in docs if t not in bad]
+    assert sorted(rows(clean.select("doc_id", "text")), key=str) == sorted(want, key=str) and clean.columns == frame.columns
+    once = corpus_pipeline.drop_copies(spark, clean, folder)
+    left = sorted(rows(once.select("doc_id", "text")), key=str)
+    assert sorted((t or "") for _, t in left) == sorted({t or "" for _, t in want})  # each text once
+    assert (0, texts[0]) in left and (None, texts[0]) not in left and sum(i == 7 for i, _ in left) == 3
+    apart = corpus_pipeline.drop_near_copies(spark, once, folder)
+    groups = simhash.simhash_groups(once.withColumn("doc_id", F.monotonically_increasing_id()))
+    assert apart.count() == groups.select("component_id").distinct().count() and bag(apart) <= bag(once)
+    mixed = corpus_pipeline.mix_domains(spark, apart, folder)
+    assert bag(mixed) <= bag(apart) and mixed.columns == frame.columns
+
+
 def test_pipeline_on_empty_tables(spark, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")

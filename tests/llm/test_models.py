@@ -234,6 +234,51 @@ def test_mixing_meets_targets(spark):
         assert np.mean([r["domain"] == ("poor" if r["doc_id"] % 4 == 0 else "good") for r in got if r["doc_id"] is not None and r["doc_id"] < 800]) > 0.97
 
 
+def test_mixing_against_numpy_over_documents(spark):
+    """Exact posteriors from the classifier's shares, and projected gradient steps on every document."""
+    from pyspark.sql import functions as F
+
+    docs, labels, _ = mixing_tables(spark)
+    weights, domains = {"good": 0.7, "poor": 0.3}, ["good", "poor"]
+    told = labels.select(F.col("doc_id").alias("id"), "domain").filter(F.col("domain").isin(domains) & F.col("id").isNotNull()).groupBy("id").agg(F.min("domain").alias("domain"))
+    model, measured = mixing.fit_classifier(docs.select(F.col("doc_id").alias("id"), "text"), told, domains)
+    stats = measured.collect()
+    names = mixing.feature_names(domains)
+    logs = np.array([[model.priors[k] + sum(model.shares[f][r[n]][k] for f, n in enumerate(names)) for k in range(2)] for r in stats])
+    shares = np.exp(logs - logs.max(axis=1, keepdims=True))
+    shares /= shares.sum(axis=1, keepdims=True)
+    tokens = np.array([r["n_tokens"] for r in stats], dtype=float)
+    rate, ahead = np.ones(len(stats)), np.ones(len(stats))
+    first = (tokens[:, None] * shares).sum(axis=0)
+    wanted = tokens.sum() * np.array([0.7, 0.3])
+    for n in range(60):
+        if np.abs((rate * tokens) @ shares - wanted).max() <= 1e-3 * tokens.sum():
+            break
+        new = np.maximum(ahead - shares @ (((ahead * tokens) @ shares - wanted) / first), 0)
+        ahead, rate = new + n / (n + 3) * (new - rate), new
+    got = mixing.mix(docs, labels, F.col("domain"), weights).collect()
+    want = sorted(zip([str(r["id"]) for r in stats], tokens, shares[:, 0], rate))
+    have = sorted((str(r["doc_id"]), r["n_tokens"], r["p_good"], r["rate"]) for r in got)
+    assert [w[0] for w in want] == [h[0] for h in have]
+    assert np.allclose(np.array([w[1:] for w in want]), np.array([h[1:] for h in have]), rtol=1e-6)
+    assert np.abs((rate * tokens) @ shares - wanted).max() <= 1e-3 * tokens.sum()  # of the exact expected totals
+
+
+def test_an_id_on_most_rows_does_not_fill_the_sample(spark, monkeypatch):
+    drawn = []
+    stage = toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, label: drawn.append((label, stage(df, label))) or drawn[-1][1])
+    docs = [(1, f"word{chr(97 + i % 26)} number {'x' * (i % 500)}") for i in range(5_000)] + [(2, "same text")] * 3_000 + [(i, f"clean text {chr(97 + i % 26)}") for i in range(3, 200)]
+    labels = [(1, 1), (2, 0), *[(i, int(i % 9 == 0)) for i in range(3, 200)]]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    samples = [df for label, df in drawn if label == "sample-rows"]
+    assert len(samples) == 2
+    for df in samples:
+        held = {r["id"]: r["n"] for r in df.groupBy("id").count().withColumnRenamed("count", "n").collect()}
+        assert held.get(1, 0) <= 4 * toxicity.PER_ID and held.get(2, 0) <= 1 and len(held) > 5
+
+
 def test_mixing_without_labels_or_rows(spark):
     from pyspark.sql import functions as F
 
