@@ -1,8 +1,9 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 Texts are cut by a rolling hash. Chunks that occur more than once in the corpus are encoded once, all others where they
-stand. A cut may fall into a word, so the words at both sides of each join are encoded again from the text; the join
-agrees once its window reaches white space on both sides, since no token crosses white space.
+stand. A cut may fall into a word, so each join is encoded again from the text, in a window that takes in words of both
+chunks. The join agrees once the window's ids begin and end with the ids that these words have within their chunks;
+until then the window is doubled.
 """
 
 from __future__ import annotations
@@ -25,12 +26,17 @@ from recordkit.sources.tables import stage
 MEAN = 1024
 # ASCII white space; other white space stays inside what is called a word here, where the tokenizer finds it.
 BLANK = b" \t\n\r\x0b\x0c"
-# Words whose ids a task remembers; it forgets them when full.
-WORDS = 200_000
+# Words whose ids a task remembers, and the bytes of such a word at most. When these are full, it goes on with those used since and forgets the rest
+# the next time: two such tables, about 50 MB, at most.
+WORDS, WORD_BYTES = 200_000, 64
 # Chunk names that a task remembers as sent.
 SENT = 100_000
-# Bits of the filter that tells most chunks without a twin; its size is fixed, and a full filter costs time, not rows.
-FILTER_BITS = 1 << 23
+# Bits of the filter that tells most chunks without a twin: so many for each shared chunk, within these bounds (2 KB and 64 MB). 0.5 GB of text had
+# 55,000 shared chunks, so the upper bound is met at some 300 GB; at ten times that, four of five chunks without a twin are still told, and a
+# chunk that is not told costs time, not rows.
+BITS_PER_CHUNK, LEAST_BITS, MOST_BITS = 16, 1 << 14, 1 << 29
+# Bits of the filter that travel as one row.
+PART_BITS = 1 << 14
 
 
 class Encoder:
@@ -42,6 +48,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
         """Ids as little-endian 32-bit numbers."""
@@ -52,14 +59,54 @@ class Encoder:
         except KeyError:
             pass
         if len(known) > WORDS:
-            known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in known]
+            self.older, self.known = known, {}
+            known = self.known
+        older, long, new = self.older, {}, []
+        for word in dict.fromkeys(words):
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    new.append(word)
         for start in range(0, len(new), 4096):
             part = new[start : start + 4096]
             encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False)
             for word, one in zip(part, encoded):
-                known[word] = struct.pack(f"<{len(one.ids)}I", *one.ids)
-        return b"".join([known[w] for w in words])
+                (known if len(word) <= WORD_BYTES else long)[word] = packed(one.ids)
+        return b"".join([known[w] if w in known else long[w] for w in words])
+
+    def running(self, text: bytes) -> bytes:
+        """Ids of a text that is encoded in one piece."""
+        return packed(self.tokenizer.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids)
+
+    def joined(self, left: bytes, join: bytes, right: bytes) -> bytes:
+        """Ids of the join between two chunks, encoded with words of both until these agree with their ids in the chunks."""
+        words = 1
+        while True:
+            before, after = last_words(left, words), first_words(right, words)
+            start, end = self.ids(before), self.ids(after)
+            ids = self.running(before + join + after)
+            if len(ids) >= len(start) + len(end) and ids.startswith(start) and ids.endswith(end):
+                return ids[len(start) : len(ids) - len(end)]
+            if before == left and after == right:
+                raise ValueError("the tokenizer's tokens depend on text beyond white space, so chunks cannot be encoded apart")
+            words *= 2
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def first_words(text: bytes, n: int) -> bytes:
+    """The text up to its n-th word and the white space after it."""
+    parts = text.split(None, n)
+    return text[: len(text) - len(parts[n])] if len(parts) > n else text
+
+
+def last_words(text: bytes, n: int) -> bytes:
+    """The text from the white space before the last n words on."""
+    parts = text.rsplit(None, n)
+    return text[len(parts[0]) :] if len(parts) > n else text
 
 
 class Decoder:
@@ -92,22 +139,22 @@ def pieces(data: bytes) -> list[tuple[bool, bytes, bytes]]:
     """The text as a list of (is a chunk, name, bytes): interiors of chunks, which may be shared, and joins, which are the
     text between two interiors. A chunk without white space is part of the join around it."""
     out: list[tuple[bool, bytes, bytes]] = []
-    start, open_join = 0, b""
+    start, open_join = 0, []
     for end in cuts(data, MEAN, MEAN // 4, 8 * MEAN):
         chunk = data[start:end]
         start = end
         parts = interior(chunk)
         if parts is None:
-            open_join += chunk
+            open_join.append(chunk)
             continue
         head, inside, tail = parts
         if open_join or head:
-            out.append((False, b"", open_join + head))
+            out.append((False, b"", b"".join([*open_join, head])))
         if inside.strip():
             out.append((True, hashlib.blake2b(inside, digest_size=16).digest(), inside))
-        open_join = tail
+        open_join = [tail] if tail else []
     if open_join:
-        out.append((False, b"", open_join))
+        out.append((False, b"", b"".join(open_join)))
     return out
 
 
@@ -118,31 +165,43 @@ def _names(rows: Iterator[tuple]) -> Iterator[tuple]:
                 yield (name,)
 
 
-def _places(name: bytes) -> int:
-    return int.from_bytes(name[:4], "big") % FILTER_BITS
+def _place(name: bytes, bits: int) -> int:
+    return int.from_bytes(name[:4], "big") % bits
+
+
+def _packed_bits(rows: Iterator[tuple]) -> Iterator[tuple]:
+    for part, places in rows:
+        bits = np.zeros(PART_BITS, dtype=np.uint8)
+        bits[places] = 1
+        yield part, np.packbits(bits, bitorder="little").tobytes()
 
 
-def fixed_filter(names: DataFrame) -> bytes:
-    """Bits of the places of ``names``: one megabyte, whatever their number."""
-    first = F.conv(F.hex(F.expr("substring(name, 1, 4)")), 16, 10).cast("long")
-    at = names.select((first % FILTER_BITS).alias("at"))
-    parts = at.groupBy(F.floor(F.col("at") / 32).alias("part")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 as int))")).alias("bits"))
-    bits = np.zeros(FILTER_BITS // 32, dtype="<u4")
-    for part, value in parts.collect():  # one row per word of the filter at most
-        bits[part] = value
-    return bits.tobytes()
+def filter_of(names: DataFrame) -> bytes:
+    """Bits of the places of ``names``; as many bits as their number asks for."""
+    wanted = BITS_PER_CHUNK * names.count()
+    size = min(max(LEAST_BITS, 1 << max(wanted - 1, 0).bit_length()), MOST_BITS)
+    place = F.conv(F.hex(F.expr("substring(name, 1, 4)")), 16, 10).cast("long") % size
+    placed = names.select(F.floor(place / PART_BITS).alias("part"), (place % PART_BITS).cast("int").alias("at"))
+    # A set holds as many places as a part has bits at most.
+    listed = placed.groupBy("part").agg(F.collect_set("at").alias("places"))
+    bits = bytearray(size // 8)
+    for part, value in map_rows(listed, ["part", "places"], _packed_bits, "part long, bits binary").toLocalIterator():
+        bits[part * PART_BITS // 8 : (part + 1) * PART_BITS // 8] = value
+    return bytes(bits)
 
 
 def _encode(rows: Iterator[tuple], path: str, shared: Callable[[], bytes]) -> Iterator[tuple]:
     """A row per text: finished if no chunk of it can have a twin, else its own ids and the names to be filled in; and
     each chunk that may have a twin once per task."""
     encoder, decoder, numbers = Encoder(path), Decoder(path), row_numbers()
-    bits, sent = np.frombuffer(shared(), dtype=np.uint8), set()
+    bits, sent = shared(), set()
+    size = 8 * len(bits)
     squeeze = zstandard.ZstdCompressor(level=3)
     for doc_id, text in rows:
         parts, waiting = [], False
-        for is_chunk, name, data in pieces((text or "").encode("utf-8", "surrogatepass")):
-            at = _places(name) if is_chunk else 0
+        cut = pieces((text or "").encode("utf-8", "surrogatepass"))
+        for i, (is_chunk, name, data) in enumerate(cut):
+            at = _place(name, size) if is_chunk else 0
             if is_chunk and bits[at >> 3] >> (at & 7) & 1:
                 waiting = True
                 parts.append((name, b""))
@@ -151,17 +210,20 @@ def _encode(rows: Iterator[tuple], path: str, shared: Callable[[], bytes]) -> It
                         sent.clear()
                     sent.add(name)
                     yield None, None, name, squeeze.compress(data), None, None, None, None, None
-            else:
+            elif is_chunk or not 0 < i < len(cut) - 1:
                 parts.append((b"", encoder.ids(data)))
+            else:  # where the text was cut, with what stands on both sides
+                left, right = (cut[k][2] if cut[k][0] else b"" for k in (i - 1, i + 1))
+                parts.append((b"", encoder.joined(left, data, right)))
         if not waiting:
             yield doc_id, next(numbers), None, None, *finished(b"".join(ids for _, ids in parts), decoder), None, None
             continue
-        own, names, size = [], [], 0
+        own, names, tokens = [], [], 0
         for name, ids in parts:
             own.append(ids)
-            size += len(ids) // 4
+            tokens += len(ids) // 4
             if name:
-                names.append((size, name))
+                names.append((tokens, name))
         yield doc_id, next(numbers), None, None, None, None, None, squeeze.compress(b"".join(own)), names
 
 
@@ -188,10 +250,11 @@ def _fill(rows: Iterator[tuple], path: str) -> Iterator[tuple]:
 def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` for every row, as one call on the whole text gives.
 
-    The names of all chunks are counted; those that occur twice or more set bits in a filter of fixed size, which goes
-    to every task. Texts without such a chunk are encoded where they are read. Of the others, only the shared chunks
+    The names of all chunks are counted; those that occur twice or more set bits in a filter sized by their number, which
+    goes to every task. Texts without such a chunk are encoded where they are read. Of the others, only the shared chunks
     (once per task, then once in all) and the ids around them move. Fits tokenizers whose tokens never cross
-    ASCII white space and that have no decoder component; ``tokenizer_path`` must be readable on every executor.
+    ASCII white space and that have no decoder component (a join that never agrees ends the run); ``tokenizer_path`` must be readable
+    on every executor. Texts of any length are cut in one pass; what has no white space for long is one join.
 
     A null text counts as empty: no tokens, digests of no bytes. Repeated rows give repeated results, null ids stay
     null. Other columns are not read. No rows give no rows.
@@ -199,8 +262,8 @@ def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text
     spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
     named = map_rows(docs, [text_column], _names, "name binary")
-    shared = named.groupBy("name").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1")
-    bits = spark.sparkContext.broadcast(fixed_filter(shared))
+    shared = stage(named.groupBy("name").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1").select("name"), "shared-chunks")
+    bits = spark.sparkContext.broadcast(filter_of(shared))
     schema = f"doc_id {kind}, row long, name binary, chunk binary, n_tokens long, ids_sha256 string, decoded_sha256 string, own binary, names array<struct<size: int, name: binary>>"
     work = partial(_encode, path=tokenizer_path, shared=partial(_value, bits))
     written = stage(map_rows(docs, [id_column, text_column], work, schema), "encoded")

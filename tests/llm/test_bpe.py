@@ -60,6 +60,68 @@ def test_words_encode_alone(text):
     assert ENCODER.ids(text.encode()) == struct.pack("<%dI" % len(i := WHOLE.encode(text, add_special_tokens=False).ids), *i)
 
 
+def test_text_without_white_space(spark):
+    """One join of 5 MB: cut in one pass, encoded once."""
+    random.seed(2)
+    long = "".join(random.choices("abcd1.", k=5_000_000))
+    frame = spark.createDataFrame([(1, long), (2, "some words " + long[:300_000] + " and others")], "doc_id long, text string")
+    assert sorted(rows(bpe.encode(frame, PATH))) == [(1, *expected(long)), (2, *expected("some words " + long[:300_000] + " and others"))]
+
+
+def test_full_filter_costs_no_rows(spark, monkeypatch):
+    """Where every chunk passes for shared, each is filled in from its one encoding."""
+    monkeypatch.setattr(bpe, "filter_of", lambda names: b"\xff" * 64)
+    random.seed(3)
+    texts = [" ".join(random.choices(["alpha", "beta's", "Gamma", "delta-9", "\u00e9t\u00e9"], k=3_000)) for _ in range(5)]
+    frame = spark.createDataFrame(list(enumerate([*texts, texts[0]])), "doc_id long, text string")
+    assert sorted(rows(bpe.encode(frame, PATH))) == [(i, *expected(t)) for i, t in enumerate([*texts, texts[0]])]
+
+
+def test_filter_holds_every_name_and_grows_with_them(spark):
+    names = [hashlib.blake2b(str(i).encode(), digest_size=16).digest() for i in range(3_000)]
+    bits = bpe.filter_of(spark.createDataFrame([(n,) for n in names], "name binary"))
+    size = 8 * len(bits)
+    assert size == 1 << 16 and all(bits[p >> 3] >> (p & 7) & 1 for p in (bpe._place(n, size) for n in names))
+    assert sum(map(int.bit_count, bits)) == len({bpe._place(n, size) for n in names})
+    assert bpe.filter_of(spark.createDataFrame([], "name binary")) == bytes(bpe.LEAST_BITS // 8)
+
+
+def test_joins_are_encoded_until_they_agree():
+    """A tokenizer that adds the number of earlier words to its ids up to three words before: the window grows to them."""
+
+    class Counting(bpe.Encoder):
+        def __init__(self, reach):
+            self.reach, self.windows = reach, []
+
+        def ids(self, text):
+            return bpe.packed([len(w) for w in text.split()])
+
+        def running(self, text):
+            self.windows.append(len(text.split()))
+            words = text.split()
+            return bpe.packed([len(w) + (1000 if i == 0 and len(words) < self.reach else 0) for i, w in enumerate(words)])
+
+    left, right = b" a bb ccc dddd eeeee ", b" f gg hhh iiii jjjjj "
+    near, far, never = Counting(0), Counting(8), Counting(100)
+    assert near.joined(left, b"xyz", right) == bpe.packed([3]) and near.windows == [3]
+    assert far.joined(left, b"xyz", right) == bpe.packed([3]) and far.windows == [3, 5, 9]
+    with pytest.raises(ValueError):
+        never.joined(left, b"xyz", right)
+
+
+@pytest.mark.parametrize("text, n, first, last", [(b" a b  c ", 1, b" a ", b"  c "), (b" a b  c ", 3, b" a b  c ", b" a b  c "), (b"  ", 2, b"  ", b"  "), (b"", 1, b"", b"")])
+def test_words_at_the_ends(text, n, first, last):
+    assert (bpe.first_words(text, n), bpe.last_words(text, n)) == (first, last)
+
+
+def test_forgotten_words_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS", 20)
+    encoder, text = bpe.Encoder(PATH), " ".join(f"word{i % 70} {'x' * (i % 90)}" for i in range(900))
+    for part in (text[i : i + 400] for i in range(0, len(text), 400)):
+        assert encoder.ids(part.encode()) == bpe.packed(WHOLE.encode(part, add_special_tokens=False).ids)
+    assert all(len(w) <= bpe.WORD_BYTES for w in encoder.known)
+
+
 @pytest.mark.parametrize("size", [0, 1, 255, 5_000, 100_000])
 def test_pieces_and_cuts_cover_the_text(size):
     random.seed(size)
