@@ -32,8 +32,8 @@ WORDS, WORD_BYTES = 200_000, 64
 # Chunk names that a task remembers as sent.
 SENT = 100_000
 # Bits of the filter that tells most chunks without a twin: so many for each shared chunk, within these bounds (2 KB and 64 MB). 0.5 GB of text had
-# 55,000 shared chunks, so the upper bound is met at some 300 GB; at ten times that, four of five chunks without a twin are still told, and a
-# chunk that is not told costs time, not rows.
+# 55,000 shared chunks, so the upper bound is met at some 300 GB. Each chunk sets four bits: 1 in 400 without a twin is not told at 16 bits for each, 1
+# in 6 at four. A chunk that is not told costs time, not rows.
 BITS_PER_CHUNK, LEAST_BITS, MOST_BITS = 16, 1 << 14, 1 << 29
 # Bits of the filter that travel as one row.
 PART_BITS = 1 << 14
@@ -75,22 +75,28 @@ class Encoder:
                 (known if len(word) <= WORD_BYTES else long)[word] = packed(one.ids)
         return b"".join([known[w] if w in known else long[w] for w in words])
 
-    def running(self, text: bytes) -> bytes:
-        """Ids of a text that is encoded in one piece."""
-        return packed(self.tokenizer.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids)
-
-    def joined(self, left: bytes, join: bytes, right: bytes) -> bytes:
-        """Ids of the join between two chunks, encoded with words of both until these agree with their ids in the chunks."""
-        words = 1
-        while True:
-            before, after = last_words(left, words), first_words(right, words)
-            start, end = self.ids(before), self.ids(after)
-            ids = self.running(before + join + after)
-            if len(ids) >= len(start) + len(end) and ids.startswith(start) and ids.endswith(end):
-                return ids[len(start) : len(ids) - len(end)]
-            if before == left and after == right:
-                raise ValueError("the tokenizer's tokens depend on text beyond white space, so chunks cannot be encoded apart")
-            words *= 2
+    def running(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts that are encoded in one piece each."""
+        encoded = self.tokenizer.encode_batch_fast([t.decode("utf-8", "surrogatepass") for t in texts], add_special_tokens=False)
+        return [packed(one.ids) for one in encoded]
+
+    def joined(self, joins: list[tuple[bytes, bytes, bytes]]) -> list[bytes]:
+        """Ids of joins, given with the chunks on both sides: encoded with words of both until these agree with their ids in the chunks."""
+        out, open_joins, words = [b""] * len(joins), range(len(joins)), 1
+        while open_joins:
+            sides = [(last_words(joins[k][0], words), first_words(joins[k][2], words)) for k in open_joins]
+            windows = self.running([before + joins[k][1] + after for k, (before, after) in zip(open_joins, sides)])
+            left = []
+            for k, (before, after), ids in zip(open_joins, sides, windows):
+                start, end = self.ids(before), self.ids(after)
+                if len(ids) >= len(start) + len(end) and ids.startswith(start) and ids.endswith(end):
+                    out[k] = ids[len(start) : len(ids) - len(end)]
+                elif before == joins[k][0] and after == joins[k][2]:
+                    raise ValueError("the tokenizer's tokens depend on text beyond white space, so chunks cannot be encoded apart")
+                else:
+                    left.append(k)
+            open_joins, words = left, 2 * words
+        return out
 
 
 def packed(ids: list[int]) -> bytes:
@@ -165,8 +171,9 @@ def _names(rows: Iterator[tuple]) -> Iterator[tuple]:
                 yield (name,)
 
 
-def _place(name: bytes, bits: int) -> int:
-    return int.from_bytes(name[:4], "big") % bits
+def _places(name: bytes, bits: int) -> list[int]:
+    """The bits of a name: one for each four of its bytes."""
+    return [place % bits for place in struct.unpack(">4I", name)]
 
 
 def _packed_bits(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -180,8 +187,9 @@ def filter_of(names: DataFrame) -> bytes:
     """Bits of the places of ``names``; as many bits as their number asks for."""
     wanted = BITS_PER_CHUNK * names.count()
     size = min(max(LEAST_BITS, 1 << max(wanted - 1, 0).bit_length()), MOST_BITS)
-    place = F.conv(F.hex(F.expr("substring(name, 1, 4)")), 16, 10).cast("long") % size
-    placed = names.select(F.floor(place / PART_BITS).alias("part"), (place % PART_BITS).cast("int").alias("at"))
+    quarters = [F.conv(F.hex(F.expr(f"substring(name, {first}, 4)")), 16, 10).cast("long") % size for first in (1, 5, 9, 13)]
+    place = F.col("place")
+    placed = names.select(F.explode(F.array(*quarters)).alias("place")).select(F.floor(place / PART_BITS).alias("part"), (place % PART_BITS).cast("int").alias("at"))
     # A set holds as many places as a part has bits at most.
     listed = placed.groupBy("part").agg(F.collect_set("at").alias("places"))
     bits = bytearray(size // 8)
@@ -200,9 +208,11 @@ def _encode(rows: Iterator[tuple], path: str, shared: Callable[[], bytes]) -> It
     for doc_id, text in rows:
         parts, waiting = [], False
         cut = pieces((text or "").encode("utf-8", "surrogatepass"))
+        # Joins are where the text was cut: between two chunks, not at its ends.
+        sides = [(i, *(cut[k][2] if cut[k][0] else b"" for k in (i - 1, i + 1))) for i in range(1, len(cut) - 1) if not cut[i][0]]
+        joins = iter(encoder.joined([(left, cut[i][2], right) for i, left, right in sides]))
         for i, (is_chunk, name, data) in enumerate(cut):
-            at = _place(name, size) if is_chunk else 0
-            if is_chunk and bits[at >> 3] >> (at & 7) & 1:
+            if is_chunk and all(bits[at >> 3] >> (at & 7) & 1 for at in _places(name, size)):
                 waiting = True
                 parts.append((name, b""))
                 if name not in sent:
@@ -212,9 +222,8 @@ def _encode(rows: Iterator[tuple], path: str, shared: Callable[[], bytes]) -> It
                     yield None, None, name, squeeze.compress(data), None, None, None, None, None
             elif is_chunk or not 0 < i < len(cut) - 1:
                 parts.append((b"", encoder.ids(data)))
-            else:  # where the text was cut, with what stands on both sides
-                left, right = (cut[k][2] if cut[k][0] else b"" for k in (i - 1, i + 1))
-                parts.append((b"", encoder.joined(left, data, right)))
+            else:
+                parts.append((b"", next(joins)))
         if not waiting:
             yield doc_id, next(numbers), None, None, *finished(b"".join(ids for _, ids in parts), decoder), None, None
             continue
