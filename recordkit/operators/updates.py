@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from recordkit.sources.tables import stage
 from recordkit.sources.versions import Version, file_name, publish_files, write_files
@@ -59,11 +59,31 @@ def _same_key(on: dict[str, str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(t) == F.col(f"_key_{t}") for t in on])
 
 
+def _within(reduced: DataFrame, target: T.StructType, on: dict[str, str]) -> Column:
+    """Whether each key is between the least and the largest offered one, where both sides have the same type: other rows cannot have a changed value."""
+    plain = (T.IntegralType, T.DateType)
+    kinds = {t: s for t, s in on.items() if target[t].dataType == reduced.schema[s].dataType and (isinstance(target[t].dataType, plain) or target[t].dataType == T.StringType())}
+    ends = [f(F.col(s)).alias(f"{name}_{t}") for t, s in kinds.items() for name, f in (("least", F.min), ("most", F.max))]
+    bounds = reduced.agg(F.count(F.lit(1)), *ends).first()
+    return reduce(lambda a, b: a & b, [F.col(t).between(bounds[f"least_{t}"], bounds[f"most_{t}"]) for t in kinds], F.lit(True))
+
+
 def _updated(target: DataFrame, chosen: DataFrame, on: dict[str, str], column: str) -> DataFrame:
     updated = F.when(F.col("_matched"), F.col("_new")).otherwise(F.col(column))
     return target.join(chosen, _same_key(on), "left").select(*[updated.alias(column) if c == column else F.col(c) for c in target.columns])
 
 
+def _file_mark() -> Column:
+    """A number for the file a row of a stored table is in, made from its own name, which Spark gives once: a path would be shuffled with each row."""
+    return F.xxhash64("_metadata.file_name")
+
+
+def _listed(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """Names of files with their places and marks."""
+    listed = spark.range(1).select(F.posexplode(F.split(F.lit("\n".join(names)), "\n")).alias("pos", "name"))
+    return listed.withColumn("mark", F.xxhash64(F.substring_index("name", "/", -1)))
+
+
 @dataclass(frozen=True)
 class FileUpdate:
     """``version``: the published new version; ``conflicts`` as in ``UpdateResult``; ``rewritten``: the old version's files that it replaces."""
@@ -78,24 +98,28 @@ def keyed_update_files(
 ) -> FileUpdate:
     """``keyed_update`` on a stored table: only files that hold a row whose value changes are written anew.
 
-    The keys and the column are read, with the file each row is in, and meet the offered values; of the table's other columns, those of files with a
-    change are read and no others. The rewritten files hold ranges of the keys again. The new version is published in one step if as many rows
+    The keys and the column are read, with the file each row is in, from rows between the least and the largest offered key, and meet the offered values; of the table's other columns, those of files with a
+    change are read and no others. Each rewritten file's rows make one new file, so files keep the ranges they had. The new version is published in one step if as many rows
     were written as read, and raises ``Conflict`` if another was published meanwhile. Without any change the old version stays current.
     """
     spark = source.sparkSession
     reduced = stage(one_value_per_key(source, list(on.values()), value), "offered-values")
     conflicts = reduced.filter("choices > 1").withColumnRenamed("_new", value)
-    target = old.read(spark)
-    chosen = _chosen(reduced, target, on, column, transform)
-    placed = target.select(*on, column, F.col("_metadata.file_path").alias("_file")) if old.files else None
-    if placed is None:
+    chosen = _chosen(reduced, old.read(spark), on, column, transform)
+    if not old.files:
         return FileUpdate(old, conflicts, ())
+    near = old.read(spark).filter(_within(reduced, old.schema, on))
+    placed = near.select(*on, column, _file_mark().alias("_file"))
     changes = placed.join(chosen, _same_key(on)).filter(~F.col(column).eqNullSafe(F.col("_new"))).select("_file").distinct()
-    rewritten = tuple(sorted(file_name(r["_file"]) for r in changes.collect()))  # names of files of this table
+    marks = {r["_file"] for r in changes.collect()}  # one for each file of this table at most
+    rewritten = tuple(sorted(r["name"] for r in _listed(spark, old.files).collect() if r["mark"] in marks))
     if not rewritten:
         return FileUpdate(old, conflicts, ())
     before = old.read(spark, rewritten)
-    written = write_files(_updated(before, chosen, on, column), old.root, list(on))
+    numbers = _listed(spark, rewritten).select(F.col("mark").alias("_mark"), F.col("pos").alias("_number"))
+    numbered = before.withColumn("_mark", _file_mark()).join(F.broadcast(numbers), "_mark").drop("_mark")
+    placed = _updated(numbered, chosen, on, column).repartitionById(len(rewritten), F.col("_number"))
+    written = write_files(placed.drop("_number"), old.root)
     files = tuple(sorted({*old.files} - {*rewritten})) + written
     new = Version(old.root, old.number + 1, old.schema, files)
     if (n := before.count()) != (m := new.read(spark, written).count()):
