@@ -29,6 +29,9 @@ BLANK = b" \t\n\r\x0b\x0c"
 # Words whose ids a task remembers, and the bytes of such a word at most. When these are full, it goes on with those used since and forgets the rest
 # the next time: two such tables, about 50 MB, at most.
 WORDS, WORD_BYTES = 200_000, 64
+# A word that hardly any text holds; it stands between words that are encoded together.
+MARK = b"\x01"
+BETWEEN = b" " + MARK + b" "
 # Chunk names that a task remembers as sent.
 SENT = 100_000
 # Bits of the filter that tells most chunks without a twin: so many for each shared chunk, within these bounds (2 KB and 64 MB). 0.5 GB of text had
@@ -47,33 +50,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        # The mark's id, if it is one token.
+        alone = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        self.mark = alone[0] if len(alone) == 1 else None
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
         """Ids as little-endian 32-bit numbers."""
         words = text.split()
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > WORDS:
-            self.older, self.known = known, {}
-            known = self.known
-        older, long, new = self.older, {}, []
-        for word in dict.fromkeys(words):
-            if word not in known:
-                if word in older:
-                    known[word] = older[word]
-                else:
-                    new.append(word)
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False)
-            for word, one in zip(part, encoded):
-                (known if len(word) <= WORD_BYTES else long)[word] = packed(one.ids)
-        return b"".join([known[w] if w in known else long[w] for w in words])
+        known, long = self.known, {}
+        new = set(words).difference(known)
+        if new:
+            if len(known) > WORDS:
+                self.older, self.known = known, {}
+                known, new = self.known, set(words)
+            if self.older:
+                known.update((w, self.older[w]) for w in new if w in self.older)
+                new = new.difference(known)
+            for word, ids in self.apart(list(new)):
+                (known if len(word) <= WORD_BYTES else long)[word] = ids
+        return b"".join([known[w] if w in known else long[w] for w in words] if long else map(known.__getitem__, words))
+
+    def apart(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each word with its ids. Words are encoded as one text with marks between, which is cut at the mark's id; those that hold a mark are texts of their own."""
+        marked = [w for w in words if self.mark is not None and MARK not in w]
+        for start in range(0, len(marked), 1000):
+            part = marked[start : start + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([BETWEEN.join(part).decode("utf-8", "surrogatepass")], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) != len(part) - 1:  # the mark's id stands for other text as well
+                yield from zip(part, self.running(part))
+                continue
+            held, at = ids.tobytes(), (4 * ends).tolist()
+            yield from zip(part, [held[first:last] for first, last in zip([0, *[e + 4 for e in at]], [*at, len(held)])])
+        single = [w for w in words if self.mark is None or MARK in w]
+        for start in range(0, len(single), 4096):
+            yield from zip(single[start : start + 4096], self.running(single[start : start + 4096]))
 
     def running(self, texts: list[bytes]) -> list[bytes]:
         """Ids of texts that are encoded in one piece each."""

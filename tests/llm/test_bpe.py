@@ -129,3 +129,25 @@ def test_pieces_and_cuts_cover_the_text(size):
     ends = cuts(data, 1024, 256, 4096)
     assert ends == sorted(set(ends)) and (ends[-1] if ends else 0) == size
     assert all(b - a <= 4096 for a, b in zip([0, *ends], ends))
+
+
+def test_new_words_are_encoded_as_one_text():
+    """One text with marks between for all words but those that hold a mark; the ids are those of each word alone."""
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder = bpe.Encoder(PATH)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    words = [*(f"Wörd{i}'s," for i in range(500)), "\x01", "a\x01b", "\x01\x01", "<|endoftext|>x", "́a", "ā", "\x02"]
+    text = " ".join(words)
+    assert encoder.ids(text.encode()) == bpe.packed(WHOLE.encode(text, add_special_tokens=False).ids)
+    assert len(counted.texts) == 4
+    assert all(encoder.known[w.encode()] == bpe.packed(WHOLE.encode(w, add_special_tokens=False).ids) for w in words)
+    encoder.mark, encoder.known = WHOLE.encode(",", add_special_tokens=False).ids[0], {}  # a mark whose id other text has: each word alone
+    assert encoder.ids(text.encode()) == bpe.packed(WHOLE.encode(text, add_special_tokens=False).ids)
