@@ -11,8 +11,9 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
+from typing import Any
 
 import numpy as np
 import zstandard
@@ -29,6 +30,8 @@ BLANK = b" \t\n\r\x0b\x0c"
 # Words whose ids a task remembers, and the bytes of such a word at most. When these are full, it goes on with those used since and forgets the rest
 # the next time: two such tables, about 50 MB, at most.
 WORDS, WORD_BYTES = 200_000, 64
+# Bytes of text whose new words are encoded together, but for a longer text or chunk.
+TOGETHER = 1 << 19
 # A word that hardly any text holds; it stands between words that are encoded together.
 MARK = b"\x01"
 BETWEEN = b" " + MARK + b" "
@@ -58,19 +61,26 @@ class Encoder:
 
     def ids(self, text: bytes) -> bytes:
         """Ids as little-endian 32-bit numbers."""
-        words = text.split()
-        known, long = self.known, {}
-        new = set(words).difference(known)
-        if new:
-            if len(known) > WORDS:
-                self.older, self.known = known, {}
-                known, new = self.known, set(words)
-            if self.older:
-                known.update((w, self.older[w]) for w in new if w in self.older)
-                new = new.difference(known)
-            for word, ids in self.apart(list(new)):
-                (known if len(word) <= WORD_BYTES else long)[word] = ids
-        return b"".join([known[w] if w in known else long[w] for w in words] if long else map(known.__getitem__, words))
+        return self.ids_of_all([text])[0]
+
+    def ids_of_all(self, texts: list[bytes]) -> list[bytes]:
+        """The same for each of several texts; the new words of ``TOGETHER`` bytes of them are encoded in one call."""
+        out: list[bytes] = []
+        for part in gathered(texts, len):
+            split = [text.split() for text in part]
+            known, long = self.known, {}
+            new = set().union(*split).difference(known)
+            if new:
+                if len(known) > WORDS:
+                    self.older, self.known = known, {}
+                    known, new = self.known, set().union(*split)
+                if self.older:
+                    known.update((w, self.older[w]) for w in new if w in self.older)
+                    new = new.difference(known)
+                known.update(self.apart([w for w in new if len(w) <= WORD_BYTES]))
+                long = dict(self.apart([w for w in new if len(w) > WORD_BYTES]))
+            out += [b"".join([known[w] if w in known else long[w] for w in words] if long else map(known.__getitem__, words)) for words in split]
+        return out
 
     def apart(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Each word with its ids. Words are encoded as one text with marks between, which is cut at the mark's id; those that hold a mark are texts of their own."""
@@ -112,6 +122,19 @@ class Encoder:
         return out
 
 
+def gathered(items: Iterable, size: Callable[[Any], int]) -> Iterator[list]:
+    """The items as lists that end with the item that brings them to ``TOGETHER`` bytes."""
+    part, held = [], 0
+    for item in items:
+        part.append(item)
+        held += size(item)
+        if held >= TOGETHER:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -218,35 +241,36 @@ def _encode(rows: Iterator[tuple], path: str, shared: Callable[[], bytes]) -> It
     bits, sent = shared(), set()
     size = 8 * len(bits)
     squeeze = zstandard.ZstdCompressor(level=3)
-    for doc_id, text in rows:
-        parts, waiting = [], False
-        cut = pieces((text or "").encode("utf-8", "surrogatepass"))
+    encoded = ((doc_id, (text or "").encode("utf-8", "surrogatepass")) for doc_id, text in rows)
+    for group in gathered(encoded, lambda row: len(row[1])):
+        texts = [(doc_id, pieces(data)) for doc_id, data in group]
+        twins = [[is_chunk and all(bits[at >> 3] >> (at & 7) & 1 for at in _places(name, size)) for is_chunk, name, _ in cut] for _, cut in texts]
         # Joins are where the text was cut: between two chunks, not at its ends.
-        sides = [(i, *(cut[k][2] if cut[k][0] else b"" for k in (i - 1, i + 1))) for i in range(1, len(cut) - 1) if not cut[i][0]]
-        joins = iter(encoder.joined([(left, cut[i][2], right) for i, left, right in sides]))
-        for i, (is_chunk, name, data) in enumerate(cut):
-            if is_chunk and all(bits[at >> 3] >> (at & 7) & 1 for at in _places(name, size)):
-                waiting = True
-                parts.append((name, b""))
-                if name not in sent:
+        inner = [[not is_chunk and 0 < i < len(cut) - 1 for i, (is_chunk, _, _) in enumerate(cut)] for _, cut in texts]
+        alone, joins = [], []
+        for (_, cut), twin, between in zip(texts, twins, inner):
+            alone += [cut[i][2] for i in range(len(cut)) if not twin[i] and not between[i]]
+            joins += [(cut[i - 1][2] if cut[i - 1][0] else b"", cut[i][2], cut[i + 1][2] if cut[i + 1][0] else b"") for i in range(len(cut)) if between[i]]
+        alone, joins = iter(encoder.ids_of_all(alone)), iter(encoder.joined(joins))
+        for (doc_id, cut), twin, between in zip(texts, twins, inner):
+            parts = [(cut[i][1], b"") if twin[i] else (b"", next(joins if between[i] else alone)) for i in range(len(cut))]
+            if not any(twin):
+                yield doc_id, next(numbers), None, None, *finished(b"".join(ids for _, ids in parts), decoder), None, None
+                continue
+            for i in range(len(cut)):
+                _, name, data = cut[i]
+                if twin[i] and name not in sent:
                     if len(sent) >= SENT:
                         sent.clear()
                     sent.add(name)
                     yield None, None, name, squeeze.compress(data), None, None, None, None, None
-            elif is_chunk or not 0 < i < len(cut) - 1:
-                parts.append((b"", encoder.ids(data)))
-            else:
-                parts.append((b"", next(joins)))
-        if not waiting:
-            yield doc_id, next(numbers), None, None, *finished(b"".join(ids for _, ids in parts), decoder), None, None
-            continue
-        own, names, tokens = [], [], 0
-        for name, ids in parts:
-            own.append(ids)
-            tokens += len(ids) // 4
-            if name:
-                names.append((tokens, name))
-        yield doc_id, next(numbers), None, None, None, None, None, squeeze.compress(b"".join(own)), names
+            own, names, tokens = [], [], 0
+            for name, ids in parts:
+                own.append(ids)
+                tokens += len(ids) // 4
+                if name:
+                    names.append((tokens, name))
+            yield doc_id, next(numbers), None, None, None, None, None, squeeze.compress(b"".join(own)), names
 
 
 def finished(ids: bytes, decoder: Decoder) -> tuple[int, str, str]:

@@ -151,3 +151,25 @@ def test_new_words_are_encoded_as_one_text():
     assert all(encoder.known[w.encode()] == bpe.packed(WHOLE.encode(w, add_special_tokens=False).ids) for w in words)
     encoder.mark, encoder.known = WHOLE.encode(",", add_special_tokens=False).ids[0], {}  # a mark whose id other text has: each word alone
     assert encoder.ids(text.encode()) == bpe.packed(WHOLE.encode(text, add_special_tokens=False).ids)
+
+
+def test_new_words_of_many_short_texts_are_encoded_in_one_call(monkeypatch):
+    """Short texts wait for each other, long ones are taken in parts; the rows are those of each text alone."""
+    calls = []
+
+    class Counted(bpe.Encoder):
+        def apart(self, words):
+            calls.append(len(words))
+            return super().apart(words)
+
+    monkeypatch.setattr(bpe, "Encoder", Counted)
+    random.seed(4)
+    texts = [" ".join("".join(random.choices("abcdé,", k=6)) for _ in range(20)) for _ in range(300)] + SAMPLES
+    got = list(bpe._encode(iter(enumerate(texts)), PATH, lambda: bytes(2048)))
+    assert [(r[0], *r[4:7]) for r in got] == [(i, *expected(t)) for i, t in enumerate(texts)]
+    assert 0 < sum(n > 0 for n in calls) <= 12
+    calls.clear()
+    monkeypatch.setattr(bpe, "TOGETHER", 5_000)
+    encoder = Counted(PATH)
+    assert encoder.ids_of_all([t.encode() for t in texts[:300]]) == [bpe.packed(WHOLE.encode(t, add_special_tokens=False).ids) for t in texts[:300]]
+    assert max(calls) < 1_000
