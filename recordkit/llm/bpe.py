@@ -12,10 +12,12 @@ import hashlib
 import os
 import struct
 from collections.abc import Callable, Iterable, Iterator
-from functools import partial
+from functools import lru_cache, partial
 from typing import Any
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
@@ -27,11 +29,11 @@ from recordkit.sources.tables import stage
 MEAN = 1024
 # ASCII white space; other white space stays inside what is called a word here, where the tokenizer finds it.
 BLANK = b" \t\n\r\x0b\x0c"
-# Words whose ids a task remembers, and the bytes of such a word at most. When these are full, it goes on with those used since and forgets the rest
-# the next time: two such tables, about 50 MB, at most.
-WORDS, WORD_BYTES = 200_000, 64
+# Words whose ids a Python process remembers, from one task to the next, and the bytes of such a word at most. When these are full, it goes on with those
+# used since and forgets the rest the next time: two such tables, about 150 MB, at most.
+WORDS, WORD_BYTES = 400_000, 64
 # Bytes of text whose new words are encoded together, but for a longer text or chunk.
-TOGETHER = 1 << 19
+TOGETHER = 1 << 20
 # A word that hardly any text holds; it stands between words that are encoded together.
 MARK = b"\x01"
 BETWEEN = b" " + MARK + b" "
@@ -61,27 +63,35 @@ class Encoder:
 
     def ids(self, text: bytes) -> bytes:
         """Ids as little-endian 32-bit numbers."""
-        return self.ids_of_all([text])[0]
+        return b"".join(self.ids_of_words(text.split()))
 
     def ids_of_all(self, texts: list[bytes]) -> list[bytes]:
-        """The same for each of several texts; the new words of ``TOGETHER`` bytes of them are encoded in one call."""
+        """The same for each of several texts; of ``TOGETHER`` bytes of them each different word is looked up once, and the new ones are encoded in one call."""
         out: list[bytes] = []
         for part in gathered(texts, len):
-            split = [text.split() for text in part]
-            known, long = self.known, {}
-            new = set().union(*split).difference(known)
-            if new:
-                if len(known) > WORDS:
-                    self.older, self.known = known, {}
-                    known, new = self.known, set().union(*split)
-                if self.older:
-                    known.update((w, self.older[w]) for w in new if w in self.older)
-                    new = new.difference(known)
-                known.update(self.apart([w for w in new if len(w) <= WORD_BYTES]))
-                long = dict(self.apart([w for w in new if len(w) > WORD_BYTES]))
-            out += [b"".join([known[w] if w in known else long[w] for w in words] if long else map(known.__getitem__, words)) for words in split]
+            words, ends = words_of(part)
+            coded = words.dictionary_encode()
+            ids = pa.array(self.ids_of_words(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+            held, at = contents(ids)
+            bounds = at[ends].tolist()
+            out += [held[first:last].to_pybytes() for first, last in zip(bounds, bounds[1:])]
         return out
 
+    def ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, remembered or new; the new ones are encoded in one call."""
+        if len(self.known) > WORDS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        found = list(map(known.get, words))
+        new = [w for w, ids in zip(words, found) if ids is None]
+        if new:
+            fresh = {w: older[w] for w in new if w in older}
+            fresh.update(self.apart([w for w in new if w and w not in fresh]))
+            known.update((w, ids) for w, ids in fresh.items() if len(w) <= WORD_BYTES)
+            fresh[b""] = b""
+            found = [fresh[w] if ids is None else ids for w, ids in zip(words, found)]
+        return found
+
     def apart(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Each word with its ids. Words are encoded as one text with marks between, which is cut at the mark's id; those that hold a mark are texts of their own."""
         marked = [w for w in words if self.mark is not None and MARK not in w]
@@ -122,6 +132,20 @@ class Encoder:
         return out
 
 
+def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, empty ones beside outer white space, and where each text's words begin and the last one's end."""
+    ends = np.cumsum([0, *map(len, texts)])
+    whole = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(b"".join(texts)))
+    lists = pc.ascii_split_whitespace(whole)
+    return lists.values.view(pa.large_binary()), lists.offsets.to_numpy()
+
+
+def contents(values: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of a large binary array that is no slice, and the offsets of its values."""
+    _, offsets, held = values.buffers()
+    return held or pa.py_buffer(b""), np.frombuffer(offsets, dtype=np.int64, count=len(values) + 1)
+
+
 def gathered(items: Iterable, size: Callable[[Any], int]) -> Iterator[list]:
     """The items as lists that end with the item that brings them to ``TOGETHER`` bytes."""
     part, held = [], 0
@@ -160,11 +184,22 @@ class Decoder:
             raise ValueError("only tokenizers without a decoder component can be decoded token by token")
         size = tokenizer.get_vocab_size(with_added_tokens=True)
         tokens = [tokenizer.id_to_token(i) for i in range(size)]
-        self.tokens = [b"" if t is None else t.encode() + b" " for t in tokens]
+        self.tokens = pa.array([b"" if t is None else t.encode() + b" " for t in tokens], pa.large_binary())
 
     def text(self, ids: np.ndarray) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids.tolist()])[:-1]
+        held, at = contents(self.tokens.take(pa.array(ids)))
+        return held[: max(int(at[-1]) - 1, 0)].to_pybytes()
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this Python process, which serves one task after the other."""
+    return Encoder(path)
+
+
+@lru_cache(maxsize=1)
+def decoder_of(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def interior(chunk: bytes) -> tuple[bytes, bytes, bytes] | None:
@@ -237,7 +272,7 @@ def filter_of(names: DataFrame) -> bytes:
 def _encode(rows: Iterator[tuple], path: str, shared: Callable[[], bytes]) -> Iterator[tuple]:
     """A row per text: finished if no chunk of it can have a twin, else its own ids and the names to be filled in; and
     each chunk that may have a twin once per task."""
-    encoder, decoder, numbers = Encoder(path), Decoder(path), row_numbers()
+    encoder, decoder, numbers = encoder_of(path), decoder_of(path), row_numbers()
     bits, sent = shared(), set()
     size = 8 * len(bits)
     squeeze = zstandard.ZstdCompressor(level=3)
@@ -278,13 +313,14 @@ def finished(ids: bytes, decoder: Decoder) -> tuple[int, str, str]:
 
 
 def _encode_chunks(rows: Iterator[tuple], path: str) -> Iterator[tuple]:
-    encoder, loosen, squeeze = Encoder(path), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
-    for name, chunk in rows:
-        yield name, squeeze.compress(encoder.ids(loosen.decompress(chunk)))
+    encoder, loosen, squeeze = encoder_of(path), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
+    for group in gathered(((name, loosen.decompress(chunk)) for name, chunk in rows), lambda row: len(row[1])):
+        for (name, _), ids in zip(group, encoder.ids_of_all([chunk for _, chunk in group])):
+            yield name, squeeze.compress(ids)
 
 
 def _fill(rows: Iterator[tuple], path: str) -> Iterator[tuple]:
-    decoder, loosen = Decoder(path), zstandard.ZstdDecompressor()
+    decoder, loosen = decoder_of(path), zstandard.ZstdDecompressor()
     for doc_id, own, found in rows:
         own, out, last = loosen.decompress(own), [], 0
         for one in found:

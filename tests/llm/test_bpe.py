@@ -173,3 +173,30 @@ def test_new_words_of_many_short_texts_are_encoded_in_one_call(monkeypatch):
     encoder = Counted(PATH)
     assert encoder.ids_of_all([t.encode() for t in texts[:300]]) == [bpe.packed(WHOLE.encode(t, add_special_tokens=False).ids) for t in texts[:300]]
     assert max(calls) < 1_000
+
+
+def test_a_process_encodes_a_word_once(monkeypatch):
+    """Tasks of one process share what it remembers: each of their words is encoded by the first that meets it, and looked up once for a group of texts, but for those at joins."""
+    encoded, asked = [], []
+
+    class Counted(bpe.Encoder):
+        def apart(self, words):
+            encoded.extend(words)
+            return super().apart(words)
+
+        def ids_of_words(self, words):
+            asked.extend(words)
+            return super().ids_of_words(words)
+
+    monkeypatch.setattr(bpe, "Encoder", Counted)
+    bpe.encoder_of.cache_clear()
+    try:
+        words = [f"wörd{i}'s" for i in range(200)]
+        texts = [" " + " \t".join(words) + "\n", " ".join(words[::-1]), "", " ", *words[:50]]
+        for _ in range(3):  # as three tasks do
+            got = list(bpe._encode(iter(enumerate(texts)), PATH, lambda: bytes(2048)))
+            assert [(r[0], *r[4:7]) for r in got] == [(i, *expected(t)) for i, t in enumerate(texts)]
+        assert sorted(encoded) == sorted(w.encode() for w in words)
+        assert len(asked) < 3 * (len(words) + 10)
+    finally:
+        bpe.encoder_of.cache_clear()
