@@ -17,13 +17,12 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from recordkit.llm.chunking import cuts
-from recordkit.llm.common import map_rows, row_numbers
+from recordkit.llm.common import map_rows, row_numbers, words_of
 from recordkit.sources.tables import stage
 
 MEAN = 1024
@@ -132,14 +131,6 @@ class Encoder:
         return out
 
 
-def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, empty ones beside outer white space, and where each text's words begin and the last one's end."""
-    ends = np.cumsum([0, *map(len, texts)])
-    whole = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(b"".join(texts)))
-    lists = pc.ascii_split_whitespace(whole)
-    return lists.values.view(pa.large_binary()), lists.offsets.to_numpy()
-
-
 def contents(values: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
     """The bytes of a large binary array that is no slice, and the offsets of its values."""
     _, offsets, held = values.buffers()
