@@ -29,8 +29,9 @@ MEAN = 1024
 # ASCII white space; other white space stays inside what is called a word here, where the tokenizer finds it.
 BLANK = b" \t\n\r\x0b\x0c"
 # Words whose ids a Python process remembers, from one task to the next, and the bytes of such a word at most. When these are full, it goes on with those
-# used since and forgets the rest the next time: two such tables, about 150 MB, at most.
-WORDS, WORD_BYTES = 400_000, 64
+# used since and forgets the rest the next time: two such tables, about 85 MB, at most, in each of
+# an executor's Python processes.
+WORDS, WORD_BYTES = 160_000, 64
 # Bytes of text whose new words are encoded together, but for a longer text or chunk.
 TOGETHER = 1 << 20
 # A word that hardly any text holds; it stands between words that are encoded together.
@@ -169,8 +170,7 @@ def last_words(text: bytes, n: int) -> bytes:
 class Decoder:
     """What the tokenizer's decode gives for whole id lists: its decoder is none, so tokens stand with a blank between."""
 
-    def __init__(self, path: str):
-        tokenizer = Tokenizer.from_file(path)
+    def __init__(self, tokenizer: Tokenizer):
         if tokenizer.decoder is not None:
             raise ValueError("only tokenizers without a decoder component can be decoded token by token")
         size = tokenizer.get_vocab_size(with_added_tokens=True)
@@ -190,7 +190,7 @@ def encoder_of(path: str) -> Encoder:
 
 @lru_cache(maxsize=1)
 def decoder_of(path: str) -> Decoder:
-    return Decoder(path)
+    return Decoder(encoder_of(path).tokenizer)
 
 
 def interior(chunk: bytes) -> tuple[bytes, bytes, bytes] | None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import struct
+import sys
 
 import public_tokenizers
 import pytest
@@ -200,3 +201,11 @@ def test_a_process_encodes_a_word_once(monkeypatch):
         assert len(asked) < 3 * (len(words) + 10)
     finally:
         bpe.encoder_of.cache_clear()
+
+
+def test_remembered_words_stay_within_85_megabytes():
+    encoder = bpe.Encoder(PATH)
+    for start in range(0, 820_000, 20_000):
+        encoder.ids_of_words([b"w%xq" % n for n in range(start, start + 20_000)])
+    tables = [encoder.known, encoder.older]
+    assert sum(sys.getsizeof(t) + sum(sys.getsizeof(w) + sys.getsizeof(ids) for w, ids in t.items()) for t in tables) < 85e6
